@@ -43,7 +43,7 @@ def sql_input(name: str) -> str:
 def with_inputs(names: Sequence[str], body: str) -> str:
     """SQL with each named input as a CTE."""
     ctes = ", ".join(f"{n} AS {sql_input(n)}" for n in names)
-    return f"WITH {ctes} {body}"
+    return f"WITH {ctes}{body}" if body.startswith(",") else f"WITH {ctes} {body}"
 
 
 def query(name: str, sql: str | None = None):
