@@ -1 +1,47 @@
-"""stub"""
+"""File feeds as streams: drops made from orders, loaded until nothing is left."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..session import scratch_dir
+from ..streaming.feeds import load_stream, stream_delta, stream_feed
+from .registry import Tables, query
+
+SCHEMA = "o_orderkey STRING, o_custkey STRING, o_orderpriority STRING"
+TEXT = "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderpriority FROM orders"
+
+
+def _drops(t: Tables, files: int) -> str:
+    path = scratch_dir(t.spark, "drops")
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_orderpriority")
+    rows.repartition(files, "o_orderkey").write.option("header", True).csv(path)
+    return path
+
+
+@query("stream_file_feed", TEXT)
+def stream_file_feed(t: Tables):
+    target, state = scratch_dir(t.spark, "feed"), scratch_dir(t.spark, "feed-state")
+    stream = stream_feed(t.spark, _drops(t, 4), SCHEMA).drop("filename")
+    load_stream(stream, target, state).awaitTermination()
+    return t.spark.read.schema(SCHEMA).parquet(target)
+
+
+@query("archive_file", TEXT)
+def archive_file(t: Tables):
+    # Two runs over one checkpoint: the second finds the first run's files loaded, and archives the last of them.
+    drops, archive = _drops(t, 3), scratch_dir(t.spark, "archive")
+    target, state = scratch_dir(t.spark, "archived"), scratch_dir(t.spark, "archived-state")
+    for _ in range(2):
+        stream = stream_feed(t.spark, drops, SCHEMA, archive).drop("filename")
+        load_stream(stream, target, state).awaitTermination()
+    return t.spark.read.schema(SCHEMA).parquet(target)
+
+
+@query("stream_delta_upsert", "SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS o_custkey FROM orders")
+def stream_delta_upsert(t: Tables):
+    # A customer's first order in any drop adds the customer; which order that is depends on file order.
+    target, state = scratch_dir(t.spark, "delta"), scratch_dir(t.spark, "delta-state")
+    stream = stream_feed(t.spark, _drops(t, 4), SCHEMA).drop("filename")
+    stream_delta(stream, target, "o_custkey", [F.col("o_orderkey").cast("bigint")], state).awaitTermination()
+    return t.spark.read.parquet(target).select("o_custkey")

@@ -9,8 +9,6 @@ from pyspark.sql import Column, functions as F
 
 from .text import as_col
 
-DateLike = "dt.date | str | Column | None"
-
 
 def as_of_date(as_of) -> Column:
     """The reference day as a column; the current day when none is given."""
@@ -19,32 +17,79 @@ def as_of_date(as_of) -> Column:
     return as_of if isinstance(as_of, Column) else F.lit(str(as_of)).cast("date")
 
 
-def _short_year(c: Column, fmt: str, as_of, years_ahead: int) -> Column:
-    """Month, day and two-digit year; a year past ``as_of`` (+ ``years_ahead``) belongs to the 1900s."""
-    sep = re.escape(re.sub("[A-Za-z]", "", fmt)[0])
-    shape = rf"^(\d{{1,2}}){sep}(\d{{1,2}}){sep}(\d{{2}})$"
-    yy = F.regexp_extract(c, shape, 3).try_cast("int")
-    newest = F.year(as_of_date(as_of)) + years_ahead
-    year = F.when(yy + 2000 <= newest, yy + 2000).otherwise(yy + 1900)
-    text = F.concat_ws("/", F.regexp_extract(c, shape, 1), F.regexp_extract(c, shape, 2), year.cast("string"))
-    return F.when(c.rlike(shape), F.try_to_date(text, "M/d/yyyy"))
+def _up_to(yy: int) -> str:
+    """Pattern of the two-digit numbers 00..yy."""
+    tens, ones = divmod(yy, 10)
+    lower = [rf"[0-{tens - 1}]\d"] if tens else []
+    return "|".join([*lower, f"{tens}[0-{ones}]"])
 
 
-def parse_date(c: Column | str, *formats: str, as_of=None, years_ahead: int = 0) -> Column:
-    """Date from the first format that fits. With a separator, one-digit months and days are accepted."""
-    c = F.trim(as_col(c))
-    tries = []
+# Pattern letters of the accepted date formats. One-digit months and days pass where a separator sets them off.
+_PARTS = {"yyyy": r"(\d{4})", "yy": r"(\d{2})", "MM": r"(0[1-9]|1[0-2])", "dd": r"(0[1-9]|[12]\d|3[01])"}
+_LOOSE = _PARTS | {"MM": r"(0?[1-9]|1[0-2])", "dd": r"(0?[1-9]|[12]\d|3[01])"}
+_SANE_YEAR = r"(19(?!00)\d{2}|[2-9]\d{3})"
+_TOKEN = re.compile("yyyy|yy|MM|dd")
+
+
+# Put in front of a rewritten text; no feed uses it, so text that fits no format stays unparsed.
+_MARK = "\u001f"
+
+
+def _shape(fmt: str, sane: bool) -> tuple[str, list[str]]:
+    """Pattern of a date format without anchors, and its tokens in order."""
+    parts = _LOOSE if re.search("[^A-Za-z]", fmt) else _PARTS
+    if sane:
+        parts = parts | {"yyyy": _SANE_YEAR}
+    literal = re.sub("[^A-Za-z]", lambda m: re.escape(m[0]), fmt)
+    return _TOKEN.sub(lambda m: parts[m[0]], literal), _TOKEN.findall(fmt)
+
+
+def _full_year(text: Column, fmt: str, newest: int) -> Column:
+    """Write out the century of a two-digit year: 20xx up to ``newest``, else 19xx."""
+    pattern, tokens = _shape(fmt, sane=False)
+    seps = re.findall("[^A-Za-z]", fmt)
+
+    def dated(century: str) -> str:
+        refs = [(century if t == "yy" else "") + f"${i}" for i, t in enumerate(tokens, 1)]
+        return "".join(r + s for r, s in zip(refs, [*seps, ""]))
+
+    if newest >= 0:
+        recent = pattern.replace(_PARTS["yy"], f"({_up_to(newest)})")
+        text = F.regexp_replace(text, f"^{recent}$", dated("20"))
+    return F.regexp_replace(text, f"^{pattern}$", dated("19"))
+
+
+def parse_date(c: Column | str, *formats: str, as_of=None, years_ahead: int = 0, sane: bool = False) -> Column:
+    """Date from the first format that fits; null when none does. ``sane`` takes years after 1900 only.
+
+    With a separator, one-digit months and days are accepted. A two-digit year after ``as_of`` (plus
+    ``years_ahead``) belongs to the 1900s; ``as_of`` is then a day, by default the day the plan is built.
+
+    All formats become one pattern that rewrites the text to ISO form, which is cast once. The input expression
+    so appears once however many formats are tried (copies of it would outgrow generated code), and a value that
+    fits none costs no exception.
+    """
+    if sum(not re.search("[^A-Za-z]", f) for f in formats) > 1:
+        return F.coalesce(*[parse_date(c, f, as_of=as_of, years_ahead=years_ahead, sane=sane) for f in formats])
+    text = F.trim(as_col(c))
+    patterns, refs = [], {"yyyy": "", "MM": "", "dd": ""}
+    group = 0
+    for fmt in dict.fromkeys(f if "yyyy" in f else f.replace("yy", "yyyy") for f in formats):
+        pattern, tokens = _shape(fmt, sane)
+        patterns.append(pattern)
+        for token in tokens:
+            group += 1
+            refs[token] += f"${group}"
     for fmt in formats:
-        if "yy" in fmt and "yyyy" not in fmt:
-            tries.append(_short_year(c, fmt, as_of, years_ahead))
-            continue
-        if re.search("[^A-Za-z]", fmt):
-            fmt = fmt.replace("MM", "M").replace("dd", "d")
-        tries.append(F.try_to_date(c, fmt))
-    return tries[0] if len(tries) == 1 else F.coalesce(*tries)
+        if "yyyy" not in fmt:
+            day = dt.date.today() if as_of is None else dt.date.fromisoformat(str(as_of))
+            text = _full_year(text, fmt, min(day.year + years_ahead - 2000, 99))
+    # Only the groups of the alternative that matched hold text; the others add nothing.
+    iso = F.regexp_replace(text, f"^(?:{'|'.join(patterns)})$", f"{_MARK}{refs['yyyy']}-{refs['MM']}-{refs['dd']}")
+    return F.split_part(iso, F.lit(_MARK), F.lit(2)).try_cast("date")
 
 
-# Shapes accepted by the free-form parser, tried in this order.
+# Shapes accepted by the free-form parser.
 FREE_FORMATS = (
     "yyyy-MM-dd HH:mm:ss",
     "yyyy-MM-dd'T'HH:mm:ss",
@@ -61,9 +106,38 @@ FREE_FORMATS = (
 )
 
 
+def _ts_shape(fmt: str) -> str:
+    """Rough pattern of a timestamp format: which digits and separators it needs."""
+    out = ""
+    for run in re.finditer(r"'[^']*'|([A-Za-z])\1*|[^A-Za-z']", fmt):
+        piece = run[0]
+        if piece.startswith("'"):
+            out += re.escape(piece.strip("'"))
+        elif not piece[0].isalpha():
+            out += re.escape(piece)
+        elif piece == "a":
+            out += "[AaPp][Mm]"
+        elif piece == "MMM":
+            out += "[A-Za-z]{3}"
+        else:
+            out += r"\d{1,2}" if len(piece) == 1 else rf"\d{{{len(piece)}}}"
+    return f"^{out}$"
+
+
 def parse_ts(c: Column | str, *formats: str) -> Column:
+    """Timestamp by the format whose shape the text has; formats of one shape are tried in order.
+
+    Looking at the shape first leaves at most one failing parse per value.
+    """
     c = F.trim(as_col(c))
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
+    by_shape: dict[str, list[str]] = {}
+    for fmt in formats:
+        by_shape.setdefault(_ts_shape(fmt), []).append(fmt)
+    out = None
+    for shape, group in by_shape.items():
+        parsed = F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in group])
+        out = F.when(c.rlike(shape), parsed) if out is None else out.when(c.rlike(shape), parsed)
+    return out
 
 
 def parse_ts_any(c: Column | str) -> Column:
@@ -81,18 +155,21 @@ def sane_date(c: Column | str) -> Column:
 ADULT_DAYS = 18 * 365 + 4
 
 
+def newest_birth(as_of=None) -> Column:
+    """Latest date of birth of an adult."""
+    return F.date_sub(as_of_date(as_of), ADULT_DAYS)
+
+
 def adult(c: Column | str, as_of=None) -> Column:
     c = as_col(c)
-    return (F.year(c) >= 1900) & (c <= F.date_sub(as_of_date(as_of), ADULT_DAYS))
+    return (F.year(c) >= 1900) & (c <= newest_birth(as_of))
 
 
 def file_date(name: Column | str, prefix: str, fmt: str) -> Column:
     """Date (or timestamp, when the format has hours) embedded in a file name right after ``prefix``."""
     shape = re.sub("[A-Za-z]", r"\\d", fmt)
     text = F.regexp_extract(as_col(name), re.escape(prefix) + f"({shape})" + r"\.\w+$", 1)
-    if "H" in fmt:
-        return F.try_to_timestamp(text, F.lit(fmt))
-    return F.try_to_date(text, fmt)
+    return F.try_to_timestamp(text, F.lit(fmt)) if "H" in fmt else parse_date(text, fmt)
 
 
 def export_name(stem: str, as_of, fmt: str, ext: str = ".csv") -> Column:

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field as dc_field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.dates import adult, parse_date, parse_ts, sane_date
+from ..functions.dates import adult, file_date, newest_birth, parse_date, sane_date
 from ..functions.hashing import protect_column, source_key
 from ..functions.text import blank_as_null, email_ok, join_address, normalize_phone, pad_id, phone_ok, prefix_phone
 from ..operators.mapping import apply_mapping, code_label, pick_by
@@ -113,7 +113,7 @@ def standardize_person_form(df: DataFrame, codes: AgencyCodes = AgencyCodes(), a
             "status": code_label("cg_status", STATUS_LABELS),
             "exempt": F.when(F.col("exempt") == "1", "true").otherwise("false"),
             "hiredate": parse_date("person_hire_date", *PERSON_DATES, as_of=as_of),
-            "dob": sane_date(parse_date("dob", *PERSON_DATES, as_of=as_of)),
+            "dob": parse_date("dob", *PERSON_DATES, as_of=as_of, sane=True),
             "ssn": pad_id("ssn", 4),
         }
     )
@@ -125,7 +125,7 @@ def standardize_person_form(df: DataFrame, codes: AgencyCodes = AgencyCodes(), a
     valid = validate_contacts(_coded(form.filter(wanted), codes))
     valid = valid.filter((F.col("is_validphone") == "valid") & (F.col("is_validemail") == "valid"))
     hired = sane_date("hiredate").cast("timestamp")
-    return valid.filter(adult("dob", as_of)).select(
+    return valid.filter(F.col("dob") <= newest_birth(as_of)).select(
         source_key(codes.label(F.col("branchid")), "ssn", F.col("dob").cast("string")).alias("sourcekey"),
         "firstname",
         "middlename",
@@ -163,8 +163,8 @@ def employment_rows(
         {
             "dob": parse_date("dob", *PERSON_DATES, as_of=as_of),
             "ssn": pad_id("ssn", 4),
-            "hiredate": sane_date(parse_date("person_hire_date", *HIRE_DATES, as_of=as_of)),
-            "termdate": sane_date(parse_date("person_termination_date", *TERM_DATES, as_of=as_of)),
+            "hiredate": parse_date("person_hire_date", *HIRE_DATES, as_of=as_of, sane=True),
+            "termdate": parse_date("person_termination_date", *TERM_DATES, as_of=as_of, sane=True),
         }
     )
     wanted = ((F.col("cg_status") == NEW_HIRE) & F.col("hiredate").isNotNull()) | (
@@ -235,8 +235,8 @@ def standardize_person_feed(df: DataFrame, label: str, file_prefix: str, as_of=N
         (F.col("exempt_status") == "Yes").alias("_exempt"),
         (F.col("ahcas_eligible").cast("string") == "1").alias("_eligible"),
         F.col("carina_eligible").try_cast("boolean").alias("iscarinaeligible"),
-        parse_ts(F.col("hire_date").cast("string"), "yyyyMMdd").alias("hiredate"),
-        parse_ts(F.col("classification_start_date").cast("string"), "yyyyMMdd").alias("trackingdate"),
+        parse_date(F.col("hire_date").cast("string"), "yyyyMMdd").cast("timestamp").alias("hiredate"),
+        parse_date(F.col("classification_start_date").cast("string"), "yyyyMMdd").cast("timestamp").alias("trackingdate"),
         parse_date(F.col("background_check_date").cast("string"), "yyyyMMdd").alias("last_background_check_date"),
         parse_date(F.col("ie_date").cast("string"), "yyyyMMdd").alias("ie_date"),
         F.col("personid").try_cast("bigint").alias("cdwa_id"),
@@ -249,9 +249,7 @@ def standardize_person_feed(df: DataFrame, label: str, file_prefix: str, as_of=N
         F.col("mailing_state").alias("mailingstate"),
         F.col("mailing_zip").alias("mailingzip"),
         F.lit(COUNTRY).alias("mailingcountry"),
-        F.try_to_date(F.regexp_extract("filename", file_prefix + r"(\d{4}-\d{2}-\d{2})\.csv", 1), "yyyy-MM-dd").alias(
-            "filemodifieddate"
-        ),
+        file_date("filename", file_prefix, "yyyy-MM-dd").alias("filemodifieddate"),
     ).select(
         "*",
         F.when(F.col("_exempt"), "true").otherwise("false").alias("exempt"),

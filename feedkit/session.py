@@ -8,12 +8,14 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Run-time SQL settings the plans in this package rely on. Skewed sort-merge joins are split even when that
-# costs one more exchange: a hot key in one task is worse than a second shuffle.
+# costs one more exchange: a hot key in one task is worse than a second shuffle. Generated methods over 8000
+# bytes are never compiled to machine code by the JVM, so stages that need longer ones are generated per operator.
 RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -32,6 +34,7 @@ def local_session(cores: str = "*", app: str = "feedkit", **settings: str) -> Sp
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
     )
     for name, value in settings.items():
