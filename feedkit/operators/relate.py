@@ -7,10 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def _prefixed(df: DataFrame, names: Sequence[str], prefix: str) -> DataFrame:
-    return df.select(*[F.col(n).alias(prefix + n) for n in names])
-
-
 def join_on_exprs(
     left: DataFrame, right: DataFrame, pairs: Sequence[tuple[Column, Column]], how: str = "inner"
 ) -> DataFrame:
@@ -27,17 +23,11 @@ def join_on_exprs(
 def join_any_key(left: DataFrame, right: DataFrame, key: str, others: Sequence[str]) -> DataFrame:
     """Inner join where ``left.key`` equals any of the right columns ``others``.
 
-    One equi join per right column. Each later join leaves out pairs an earlier column already matched, so a
-    pair comes out once without a de-duplicating shuffle.
+    Each right row is listed once per distinct value among those columns, which turns the condition into one
+    equi join that finds every pair once. A join on ``a = x OR a = y`` would compare all rows with all rows.
     """
-    out = None
-    for i, other in enumerate(others):
-        cond = left[key] == right[other]
-        for earlier in others[:i]:
-            cond = cond & ~left[key].eqNullSafe(right[earlier])
-        part = left.join(right, cond, "inner")
-        out = part if out is None else out.union(part)
-    return out
+    listed = right.withColumn("_any", F.explode(F.array_distinct(F.array(*others)))).filter("_any IS NOT NULL")
+    return left.join(listed, left[key] == F.col("_any"), "inner").drop("_any")
 
 
 def resolve_id(df: DataFrame, xref: DataFrame, key: str, xref_key: str, value: str, to: str, how: str = "inner") -> DataFrame:

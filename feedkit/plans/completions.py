@@ -94,10 +94,9 @@ def validate_completions(df: DataFrame, person: DataFrame, tie: Sequence[str]) -
         ],
         "left",
     ).drop("_last", "_email", "_id")
-    unmatched = joined.filter("_matched IS NULL").withColumn("route", F.lit("unmatched"))
-    matched = flag_first(joined.filter("_matched"), ["learner_id", "class_title"], ["date", *tie])
-    routed = matched.withColumn("route", F.when(F.col("is_first"), "valid").otherwise("duplicate")).drop("is_first")
-    return routed.unionByName(unmatched).drop("_matched")
+    ranked = flag_first(joined, ["learner_id", "class_title", "_matched"], ["date", *tie])
+    where = F.when(F.col("_matched").isNull(), "unmatched").when(F.col("is_first"), "valid").otherwise("duplicate")
+    return ranked.withColumn("route", where).drop("_matched", "is_first")
 
 
 def enrich_completions(

@@ -10,7 +10,6 @@ from ..functions.text import field, strip_suffix
 from ..operators.mapping import code_label
 from ..operators.ranking import flag_first
 from ..operators.relate import anti, resolve_id
-from ..operators.setops import union_by_name
 
 # Program name -> program code.
 PROGRAM_CODES = {
@@ -123,11 +122,13 @@ def apply_transfer_rules(
     requirement: DataFrame,
     program: str = "trainingprogram",
     completed: str = "completeddate",
+    only: Column | None = None,
 ) -> DataFrame:
     """Join person and active requirement and evaluate the rules.
 
     Adds ``is_valid``, ``error_message``, ``transferhours`` and ``additionalerrors``. Several active requirements
-    for one person and program give several rows. Hours are compared as decimals.
+    for one person and program give several rows. Hours are compared as decimals. Rows outside ``only`` pass
+    through without looking for a requirement, so they are not multiplied.
     """
     hired = person.select(F.col("personid").alias("_pid"), F.col("hiredate").alias("_hired"))
     hours = {n: F.col(n).try_cast(HOURS) for n in ("requiredhours", "earnedhours", "transferredhours")}
@@ -140,9 +141,9 @@ def apply_transfer_rules(
         hours["earnedhours"].alias("_earned"),
         hours["transferredhours"].alias("_transferred"),
     )
-    joined = transfers.join(hired, F.col("personid") == F.col("_pid"), "left").join(
-        active, (F.col("personid") == F.col("_rid")) & (F.col(program) == F.col("_program")), "left"
-    )
+    wanted = F.col(program) if only is None else F.when(only, F.col(program))
+    named = transfers.withColumn("_wanted", wanted).join(hired, F.col("personid") == F.col("_pid"), "left")
+    joined = named.join(active, (F.col("personid") == F.col("_rid")) & (F.col("_wanted") == F.col("_program")), "left")
 
     def or_zero(c: Column) -> Column:
         return F.coalesce(c, F.lit(0).cast(HOURS))
@@ -172,7 +173,7 @@ def apply_transfer_rules(
             .when(continuing & ~late_hire, MESSAGES["hired_early"])
             .when(continuing & (earned + or_zero(given) > required), MESSAGES["excess"]),
         }
-    ).drop("_pid", "_hired", "_rid", "_program", "_from", "_due", "_required", "_earned", "_transferred")
+    ).drop("_wanted", "_pid", "_hired", "_rid", "_program", "_from", "_due", "_required", "_earned", "_transferred")
 
 
 def route_transfers(ruled: DataFrame) -> DataFrame:
@@ -187,19 +188,45 @@ def route_transfers(ruled: DataFrame) -> DataFrame:
     ).drop("additionalerrors")
 
 
-def _finish(marked: DataFrame, history: DataFrame, keys: Sequence[str], person, requirement, program, completed) -> DataFrame:
-    """Rules for first eligible rows that history lacks; every other row is logged with its reason."""
-    first = marked.filter("is_first AND hours_ok")
+def _route_all(
+    marked: DataFrame,
+    history: DataFrame,
+    keys: Sequence[str],
+    person: DataFrame,
+    requirement: DataFrame,
+    program: str,
+    completed: str,
+    skipped: Column,
+) -> DataFrame:
+    """One pass over marked transfers (``is_first``, ``hours_ok``): history check, rules, reason of each reject.
+
+    Only first eligible rows look for partners. The others keep a null in one part of the join keys, so they
+    match nothing, are not multiplied, and still spread by person.
+    """
+    candidate = F.col("is_first") & F.col("hours_ok") & ~skipped
     held = history.select(*keys).distinct().withColumn("_held", F.lit(True))
-    checked = first.join(held, list(keys), "left").withColumn("_held", F.coalesce("_held", F.lit(False)))
-    ruled = route_transfers(
-        apply_transfer_rules(checked.filter("NOT _held"), person, requirement, program, completed)
+    asked = marked.withColumn("_hours", F.when(candidate, F.col("_hours")))
+    checked = asked.join(held, list(keys), "left").withColumn("_fresh", candidate & F.col("_held").isNull())
+    ruled = apply_transfer_rules(checked, person, requirement, program, completed, only=F.col("_fresh"))
+    fresh = F.col("_fresh")
+    why = (
+        F.when(skipped, "unfinished")
+        .when(~F.col("is_first"), "duplicate")
+        .when(~F.col("hours_ok"), "rejected_hours")
+        .when(~fresh, "in_history")
+        .otherwise(F.col("route"))
     )
-    in_history = checked.filter("_held").withColumn("route", F.lit("in_history"))
-    rest = marked.filter("NOT (is_first AND hours_ok)").withColumn(
-        "route", F.when(F.col("is_first"), "rejected_hours").otherwise("duplicate")
+    return (
+        route_transfers(ruled)
+        .withColumns(
+            {
+                "route": why,
+                "transferhours": F.when(fresh, F.col("transferhours")),
+                "error_message": F.when(fresh, F.col("error_message")),
+            }
+        )
+        .drop("_held", "_fresh", "_hours", "is_first", "hours_ok", "is_valid")
     )
-    return union_by_name(ruled, in_history, rest).drop("_held", "is_first", "hours_ok")
 
 
 def feed_transfers(
@@ -215,7 +242,7 @@ def feed_transfers(
     )
     past = history.select("personid", "trainingprogram", F.col("transferhours").try_cast("decimal(5,2)").alias("_hours"))
     keys = ["personid", "trainingprogram", "_hours"]
-    return _finish(marked, past, keys, person, requirement, "trainingprogram", "completeddate").drop("_hours")
+    return _route_all(marked, past, keys, person, requirement, "trainingprogram", "completeddate", F.lit(False))
 
 
 def clean_course(df: DataFrame, catalog: DataFrame, mode: str = "suffix") -> DataFrame:
@@ -255,10 +282,9 @@ def survey_transfers(
     """
     titled = clean_course(survey.distinct(), catalog)
     ranked = flag_first(titled, ["personid", "trainingprogramcode", "credithours"], ["completed_date", *tie])
-    finished = F.coalesce(F.col("finished") == "True", F.lit(False))
-    marked = eligible_hours(ranked, "trainingprogramtype", "credithours", survey=True)
-    open_rows = marked.filter(finished).withColumn("_hours", F.col("credithours").try_cast("decimal(5,2)"))
-    unfinished = marked.filter(~finished).withColumn("route", F.lit("unfinished")).drop("is_first", "hours_ok")
+    marked = eligible_hours(ranked, "trainingprogramtype", "credithours", survey=True).withColumn(
+        "_hours", F.col("credithours").try_cast("decimal(5,2)")
+    )
     past = history.select(
         "personid",
         F.col("trainingprogram").alias("trainingprogramtype"),
@@ -266,5 +292,5 @@ def survey_transfers(
         "coursecode",
     )
     keys = ["personid", "trainingprogramtype", "_hours", "coursecode"]
-    done = _finish(open_rows, past, keys, person, requirement, "trainingprogramtype", "completed_date")
-    return union_by_name(done.drop("_hours"), unfinished)
+    unfinished = ~F.coalesce(F.col("finished") == "True", F.lit(False))
+    return _route_all(marked, past, keys, person, requirement, "trainingprogramtype", "completed_date", unfinished)

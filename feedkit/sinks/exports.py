@@ -36,9 +36,9 @@ def export_delimited(
 
 
 def line_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Lines per file: name, n_lines. Files are split across tasks and counted before the shuffle."""
+    """Lines per file: path, n_lines. Files are split across tasks and counted before the shuffle."""
     lines = spark.read.option("recursiveFileLookup", True).text(path)
-    return lines.select(F.col("_metadata.file_name").alias("name")).groupBy("name").agg(F.count("*").alias("n_lines"))
+    return lines.select(F.col("_metadata.file_path").alias("path")).groupBy("path").agg(F.count("*").alias("n_lines"))
 
 
 def file_log(
@@ -46,7 +46,7 @@ def file_log(
 ) -> DataFrame:
     """One row per outbound file: name, modified, numberofrows, size, category, processed_date."""
     files = list_files(spark, path, suffix=suffix)
-    counted = files.join(line_counts(spark, path), "name", "left")
+    counted = files.join(line_counts(spark, path), "path", "left")
     rows = F.coalesce(F.col("n_lines"), F.lit(0)) - F.lit(1 if has_header else 0)
     return counted.select(
         "name",

@@ -87,8 +87,8 @@ def list_files(spark: SparkSession, path: str, suffix: str | None = None, contai
     """One row per file below ``path``: path, name, modified, size. File contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     files = reader.load(path).select(
-        "path",
-        F.regexp_extract("path", "([^/]+)$", 1).alias("name"),
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_name").alias("name"),
         F.col("modificationTime").alias("modified"),
         F.col("length").alias("size"),
     )
