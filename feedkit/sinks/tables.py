@@ -35,6 +35,9 @@ def truncate(spark: SparkSession, targets: Iterable[str]) -> None:
     for target in targets:
         if _is_path(target):
             spark.createDataFrame([], spark.read.parquet(target).schema).write.mode("overwrite").parquet(target)
+        elif spark.catalog.getTable(target).tableType == "EXTERNAL":
+            # Spark refuses TRUNCATE where it does not own the files.
+            spark.createDataFrame([], spark.table(target).schema).write.insertInto(target, overwrite=True)
         else:
             spark.sql(f"TRUNCATE TABLE {target}")
 

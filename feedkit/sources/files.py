@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 
 def read_delimited(
@@ -41,9 +41,14 @@ def read_delimited(
     return reader.csv(path)
 
 
+def read_file_name() -> Column:
+    """Base name of the file a row was read from. Spark reports it URL-encoded; a plus sign stands for itself."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
 def with_file_name(df: DataFrame, to: str = "filename") -> DataFrame:
     """Add the base name of the file each row was read from."""
-    return df.withColumn(to, F.col("_metadata.file_name"))
+    return df.withColumn(to, read_file_name())
 
 
 def clean_headers(df: DataFrame) -> DataFrame:
@@ -84,11 +89,14 @@ def skip_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
 
 
 def list_files(spark: SparkSession, path: str, suffix: str | None = None, contains: str | None = None) -> DataFrame:
-    """One row per file below ``path``: path, name, modified, size. File contents are not read."""
+    """One row per file below ``path``: path, name, modified, size. File contents are not read.
+
+    Spark's file scan leaves out files of zero bytes.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     files = reader.load(path).select(
         F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_name").alias("name"),
+        read_file_name().alias("name"),
         F.col("modificationTime").alias("modified"),
         F.col("length").alias("size"),
     )

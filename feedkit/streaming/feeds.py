@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.ranking import keep_first
+from ..sources.files import with_file_name
+
 
 def stream_feed(
     spark: SparkSession,
@@ -30,7 +33,7 @@ def stream_feed(
     )
     if archive is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    return reader.csv(path).withColumn("filename", F.col("_metadata.file_name"))
+    return with_file_name(reader.csv(path))
 
 
 def load_stream(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
@@ -52,8 +55,6 @@ def stream_delta(stream: DataFrame, target: str, key: str, order: list[Column |
     batch that runs again after a failure replaces its own output and gives the same rows. Known keys live in the
     table, not in streaming state. Null keys are dropped.
     """
-    from ..operators.ranking import keep_first
-
     spark = stream.sparkSession
     held_schema = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
 
