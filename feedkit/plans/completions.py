@@ -104,19 +104,20 @@ def enrich_completions(
 ) -> DataFrame:
     """Attach course and instructor to completions (learner_id, class_title, completiondate, instructor).
 
-    Courses match on the title, or on title and language joined by a blank; unmatched completions stay.
+    Courses match on the title, or on title and language joined by a blank; unmatched completions stay. Each row
+    comes out once: the three inputs are made distinct, which is cheaper than doing so to the joined rows.
     """
     name = F.concat(F.trim("coursename"), F.lit(" "), F.col("courselanguage")) if with_language else F.trim("coursename")
     course_cols = (
         "credithours", "trainingprogramtype", "trainingprogramcode", "courseid",
         "coursetype", "courselanguage", "dshscourseid",
     )
-    courses = catalog.select(F.lower(name).alias("_title"), *[c for c in course_cols if c in catalog.columns])
-    people = instructors.select(_key("instructorname").alias("_name"), F.col("instructorid"))
-    out = df.select("learner_id", "class_title", "completiondate", F.col("instructor").alias("instructorname"))
+    courses = catalog.select(F.lower(name).alias("_title"), *[c for c in course_cols if c in catalog.columns]).distinct()
+    people = instructors.select(_key("instructorname").alias("_name"), F.col("instructorid")).distinct()
+    out = df.select("learner_id", "class_title", "completiondate", F.col("instructor").alias("instructorname")).distinct()
     out = out.withColumns({"_t": _key("class_title"), "_n": _key("instructorname")})
     out = out.join(courses, F.col("_t") == F.col("_title"), "left").join(people, F.col("_n") == F.col("_name"), "left")
-    return out.drop("_t", "_n", "_title", "_name").withColumn("trainingsource", F.lit(source)).distinct()
+    return out.drop("_t", "_n", "_title", "_name").withColumn("trainingsource", F.lit(source))
 
 
 def newest_sheet(df: DataFrame, tie: Sequence[str] = ()) -> DataFrame:
