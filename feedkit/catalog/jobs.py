@@ -940,15 +940,15 @@ EXAM_ROWS = [
     "'T' || o_custkey AS taxid",
     f"CAST({ORDER_DAY} AS STRING) AS examdate",
     "CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE o_orderstatus END AS examstatus",
-    "'Skills' AS `exam title`",
-    "CAST(o_orderkey % 100 AS STRING) AS `result 1`",
+    "'Skills' AS examtitlefromprometrics",
+    "CAST(o_orderkey % 100 AS STRING) AS randomskill1result",
 ]
 
 
 @query(
     "exam_load",
     f"SELECT CAST(o_custkey AS VARCHAR) AS studentid, 'T' || o_custkey AS taxid, CAST({ORDER_DAY} AS VARCHAR) AS examdate, "
-    "CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderstatus END AS examstatus, 'Skills' AS examtitle, CAST(o_orderkey % 100 AS VARCHAR) AS result1, "
+    "CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderstatus END AS examstatus, 'Skills' AS examtitlefromprometrics, CAST(o_orderkey % 100 AS VARCHAR) AS randomskill1result, "
     "'exam_20240630_101500.TXT' AS filename, TIMESTAMP '2024-06-30 10:15:00' AS filemodifieddate FROM orders",
 )
 def exam_load(t: Tables):

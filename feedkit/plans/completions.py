@@ -152,7 +152,13 @@ def safety_from_transfers(
 
 
 def safety_from_form(
-    df: DataFrame, person: DataFrame, ids: Sequence[str], source: str, tie: Sequence[str], key: str = "form_id"
+    df: DataFrame,
+    person: DataFrame,
+    ids: Sequence[str],
+    source: str,
+    tie: Sequence[str],
+    key: str = "form_id",
+    completed: str = "completion_date",
 ) -> DataFrame:
     """Safety completions from a form: new rows, newest submission per id, finished ones, joined to the person.
 
@@ -160,7 +166,7 @@ def safety_from_form(
     of them take part, and a person found through both counts once.
     """
     new = df.filter(F.col("isdelta").cast("string") == "true").withColumn(
-        "completeddate", parse_date("completion_date", *FORM_DATES)
+        "completeddate", parse_date(completed, *FORM_DATES)
     )
     order = [F.col("filemodifieddate").desc_nulls_last(), F.col("completeddate").asc_nulls_first(), *tie]
     last = keep_first(new, [key], order).filter(F.col("finished") == "1")

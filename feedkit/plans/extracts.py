@@ -178,6 +178,7 @@ def quarantine_rows(df: DataFrame, text: Sequence[str]) -> DataFrame:
     return stringify(df, text)
 
 
+# Columns of the log of sent status rows.
 STATUS_LOG = [
     ("employee id", "string", "employeeid", "string"),
     ("person id", "bigint", "personid", "bigint"),

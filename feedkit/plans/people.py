@@ -54,7 +54,7 @@ class AgencyCodes:
         return code_label(branch, self.labels) if self.labels else F.concat(F.lit("branch"), branch.cast("string"))
 
 
-# Target column -> (new-hire source, terminated source).
+# Target column -> (new-hire source, terminated source).
 FORM_PAIRS = {
     "firstname": ("newhire_person_firstname", "terminated_person_firstname"),
     "lastname": ("newhire_person_lastname", "terminated_person_lastname"),
@@ -191,7 +191,7 @@ def employment_rows(
     )
 
 
-# Provider view to employment history: one mapping, no logic.
+# Provider view to employment history, one mapping without logic.
 EMPLOYMENT_VIEW = [
     ("sourcekey", "string", "source", "string"),
     ("classificationcode", "string", "categorycode", "string"),

@@ -13,6 +13,7 @@ from ..operators.relate import anti
 PREAMBLE_ROWS = 7
 CREDENTIAL_START, CREDENTIAL_LENGTH = 5, 16
 
+# Columns of the two report files.
 CLASSIFIED_COLUMNS = {
     "col0": "filelastname",
     "col1": "filefirstname",
@@ -68,6 +69,7 @@ def finalize_report(df: DataFrame, target: DataFrame, prefix: str, instructor: s
     )
 
 
+# Columns of the transition list.
 TRANSITION = [
     ("providerone ipid", "string", "providerone_id", "string"),
     ("workday id", "string", "workdayid", "string"),
@@ -97,6 +99,7 @@ TRANSITION = [
     ("filedate", "date", "filedate", "timestamp"),
 ]
 
+# Columns of the relationship feed.
 RELATIONSHIP = [
     ("provider id", "string", "provider_id", "int"),
     ("filename", "string", "filename", "string"),
@@ -117,16 +120,17 @@ RELATIONSHIP = [
     ("termination date", "string", "termination_date", "string"),
 ]
 
-EXAM = [
-    (name, "string", name.replace(" ", ""), "string")
-    for name in (
-        "studentid", "taxid", "credentialnumber", "examdate", "examstatus", "exam title", "testlanguage",
-        "testsite", "sitename", "result 1", "result 2", "result 3", "result 4", "result 5", "result 6", "result 7",
-    )
-] + [
+# Columns of the exam results.
+EXAM_HEADINGS = (
+    "studentid", "taxid", "credentialnumber", "examdate", "examstatus", "examtitlefromprometrics", "testlanguage",
+    "testsite", "sitename", "rolesandresponsibilitiesofthehomecareaide", "supportingphysicalandpsychosocialwellbeing",
+    "promotingsafety", "handwashingskillresult", "randomskill1result", "randomskill2result", "randomskill3result",
+    "commoncarepracticesskillresult",
+)
+EXAM = [(name, "string", name, "string") for name in EXAM_HEADINGS] + [
     ("filename", "string", "filename", "string"),
     ("filemodifieddate", "timestamp", "filemodifieddate", "timestamp"),
-]
+]
 
 
 def load_feed(df: DataFrame, mapping, prefix: str, fmt: str, date_col: str) -> DataFrame:

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from feedkit.plans import completions as c, extracts as x, reports as r
+from feedkit.plans import completions as c, extracts as x, feeds as f, reports as r
 
 from .conftest import rows
 
@@ -249,3 +249,13 @@ def test_feed_loaders(spark):
     rel = spark.createDataFrame([("x", "99999999999", "1.239", "rel_20240630_101500.TXT")], ["provider id", "student id", "cumulative career hours", "filename"])
     got = r.load_feed(rel, r.RELATIONSHIP, "rel_", "yyyyMMdd_HHmmss", "filemodifieddate").first()
     assert (got.provider_id, got.student_id, str(got.cumulative_career_hours), str(got.filemodifieddate)) == (None, 99999999999, "1.24", "2024-06-30 10:15:00")
+
+
+def test_feed_names_follow_headings():
+    named = {source: target for source, _, target, _ in f.PROVIDER}
+    assert (named["i&e date"], named["o&s completed"], named["mailing add 1"], named["person id"]) == ("ie_date", "os_completed", "mailing_add_1", "personid")
+    assert {t for _, _, t, _ in f.TRANSFER} >= {"employeeid", "dshscoursecode", "reasonfortransfer", "createddate"}
+    survey = {source: (target, kind) for source, _, target, kind in f.TRANSFER_SURVEY}
+    assert survey["Duration (in seconds)"] == ("duration_in_seconds", "string") and survey["id"] == ("personid", "bigint")
+    assert [t for s, _, t, _ in f.INTAKE if s == "Q3"] == ["cg_status", "person_emp_status"]
+    assert len({t for _, _, t, _ in f.LMS}) == len(f.LMS) == 22
