@@ -147,12 +147,12 @@ PRIORITIES = {"1-URGENT": "urgent", "2-HIGH": "high", "5-LOW": "low"}
 @query(
     "code_map",
     "SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'urgent' WHEN '2-HIGH' THEN 'high' WHEN '5-LOW' THEN 'low' END "
-    "AS label, c_mktsegment AS segment FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND c_custkey % 2 = 0",
+    "AS label, c_mktsegment AS segment FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND c_acctbal > 0",
 )
 def code_map(t: Tables):
     # Labels of priorities come from a literal table, segments from a code table kept as a frame.
     labelled = m.map_codes(t.orders, "o_orderpriority", PRIORITIES, to="label")
-    table = t.customer.filter("c_custkey % 2 = 0").select("c_custkey", "c_mktsegment")
+    table = t.customer.filter("c_acctbal > 0").select("c_custkey", "c_mktsegment")
     return m.map_codes(labelled, "o_custkey", table, to="segment").select("o_orderkey", "label", "segment")
 
 

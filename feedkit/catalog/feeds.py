@@ -42,7 +42,7 @@ def load_intake(t: Tables):
     with_inputs(
         ["safety_form"],
         "SELECT 'S' || o_orderkey AS responseid, form_id AS dshs_id, completion_date AS os_completion_date, finished, "
-        "o_orderkey % 4 = 0 AS isdelta FROM safety_form",
+        "o_orderpriority = '1-URGENT' AS isdelta FROM safety_form",
     ),
 )
 def load_safety_form(t: Tables):
@@ -53,7 +53,7 @@ def load_safety_form(t: Tables):
         F.col("finished").alias("Finished"),
         F.lit("Safety20240630101500.csv").alias("filename"),
     )
-    previous = t.orders.filter("o_orderkey % 4 <> 0").select(F.expr("concat('S', o_orderkey)").alias("responseid"))
+    previous = t.orders.filter("o_orderpriority <> '1-URGENT'").select(F.expr("concat('S', o_orderkey)").alias("responseid"))
     out = f.load_safety_form(raw, previous, "Safety")
     return out.select("responseid", "dshs_id", "os_completion_date", "finished", "isdelta")
 
@@ -62,7 +62,7 @@ def load_safety_form(t: Tables):
     "load_transfer_survey",
     with_inputs(
         ["survey"],
-        "SELECT 'T' || event_id AS responseid, personid, course_name, credithours, finished, event_id % 3 = 0 AS isdelta, DATE '2024-06-30' AS loaded FROM survey",
+        "SELECT 'T' || event_id AS responseid, personid, course_name, credithours, finished, event_type = 'click' AS isdelta, DATE '2024-06-30' AS loaded FROM survey",
     ),
 )
 def load_transfer_survey(t: Tables):
@@ -74,7 +74,7 @@ def load_transfer_survey(t: Tables):
         F.col("finished").alias("Finished"),
         F.lit("transfers2024-06-30.csv").alias("filename"),
     )
-    previous = t.events.filter("event_id % 3 <> 0").select(F.expr("concat('T', event_id, ' ')").alias("responseid"))
+    previous = t.events.filter("event_type <> 'click'").select(F.expr("concat('T', event_id, ' ')").alias("responseid"))
     out = f.load_transfer_survey(raw, previous, "transfers")
     return out.select(
         "responseid", "personid", "course_name", "credithours", "finished", "isdelta",
@@ -149,15 +149,23 @@ def load_lms(t: Tables):
     return f.completions_of(loaded).select("learner_id", "class_title", "class_id", "date", "when_enrolled")
 
 
+_CLEAN_SHEET = (
+    "SELECT learner_id, class_id, attendance, CAST(try_strptime(date_text, '%m/%d/%Y') AS DATE) AS date, "
+    "replace(instructor, '''', '’') AS instructor, sheet_name FROM (SELECT *, row_number() OVER (PARTITION BY learner_id, class_id "
+    "ORDER BY date_text DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey, attendance) AS rn FROM {rows}) "
+    "WHERE rn = 1 AND regexp_matches(learner_id, '^[0-9]+$') AND length(learner_id) <= 12 AND date_text <> ''"
+)
+
+
 @query(
     "load_sheet",
     with_inputs(
         ["sheet"],
-        ", clean AS (SELECT learner_id, class_id, class_title, attendance, CAST(try_strptime(date_text, '%m/%d/%Y') AS DATE) AS date, "
-        "replace(instructor, '''', '’') AS instructor, sheet_name, l_orderkey FROM "
-        "(SELECT *, row_number() OVER (PARTITION BY learner_id, class_id ORDER BY date_text DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey, attendance) AS rn FROM sheet) "
-        "WHERE rn = 1 AND regexp_matches(learner_id, '^[0-9]+$') AND length(learner_id) <= 12 AND date_text <> '') "
-        "SELECT DISTINCT learner_id, class_id, date, instructor, sheet_name, l_orderkey % 3 <> 0 AS isdelta FROM clean",
+        f", clean AS ({_CLEAN_SHEET.format(rows='sheet')}), "
+        f"prev AS ({_CLEAN_SHEET.format(rows="(SELECT * FROM sheet WHERE l_linestatus = 'F')")}) "
+        "SELECT DISTINCT learner_id, class_id, date, instructor, sheet_name, NOT EXISTS (SELECT 1 FROM prev p WHERE p.learner_id = c.learner_id "
+        "AND p.class_id = c.class_id AND p.date = c.date AND p.instructor = c.instructor AND p.sheet_name = c.sheet_name "
+        "AND p.attendance = c.attendance) AS isdelta FROM clean c",
     ),
 )
 def load_sheet(t: Tables):
@@ -166,8 +174,8 @@ def load_sheet(t: Tables):
     extra = {"first name": "Ann", "last name": "Lee", "phone number": "1", "learner email": "a@b.org", "duration": "1.5", "when enrolled": "01/02/23"}
     raw = rows.withColumnsRenamed(named).withColumns({k: F.lit(v) for k, v in extra.items()})
     order = [F.col("date").desc(), *_KEYS, "attendance"]
-    # The last snapshot is what the sheets of every third learner gave.
-    known = raw.filter("l_orderkey % 3 = 0")
+    # The last snapshot is what the closed lines gave.
+    known = raw.filter("l_linestatus = 'F'")
     nothing = t.orders.limit(0).selectExpr(*[f"CAST(NULL AS STRING) AS {c}" for c in f.SHEET_COLUMNS])
     previous = f.load_sheet(known, nothing, order, AS_OF).drop("isdelta")
     out = f.load_sheet(raw, previous, order, AS_OF)

@@ -262,19 +262,19 @@ def line_count(t: Tables):
     return line_counts(t.spark, path).agg(F.sum("n_lines").alias("n_lines"))
 
 
-@query("sink_truncate_load", "SELECT * FROM customer WHERE c_custkey % 2 = 1")
+@query("sink_truncate_load", "SELECT c_custkey, upper(c_name) AS c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def sink_truncate_load(t: Tables):
     target = scratch_dir(t.spark, "truncate-load")
     truncate_load(t.customer, target)
-    truncate_load(t.customer.filter("c_custkey % 2 = 1"), target)
+    truncate_load(t.customer.withColumn("c_name", F.upper("c_name")), target)
     return read_table(t.spark, target)
 
 
 @query("sink_append", "SELECT * FROM customer")
 def sink_append(t: Tables):
     target = scratch_dir(t.spark, "append")
-    append(t.customer.filter("c_custkey % 2 = 1"), target)
-    append(t.customer.filter("c_custkey % 2 = 0"), target)
+    append(t.customer.filter("c_acctbal < 0"), target)
+    append(t.customer.filter("c_acctbal >= 0"), target)
     return read_table(t.spark, target)
 
 
@@ -308,24 +308,23 @@ def sink_export(t: Tables):
     return out
 
 
-@query("sink_truncate", "SELECT * FROM customer WHERE c_custkey % 3 = 0")
+@query("sink_truncate", "SELECT c_custkey, upper(c_name) AS c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def sink_truncate(t: Tables):
     target = scratch_dir(t.spark, "truncate")
     truncate_load(t.customer, target)
     truncate(t.spark, [target])
-    append(t.customer.filter("c_custkey % 3 = 0"), target)
+    append(t.customer.withColumn("c_name", F.upper("c_name")), target)
     return read_table(t.spark, target)
 
 
 @query(
     "sent_rows_log",
-    "SELECT c_custkey, c_name, 'Status-2024-06-30.csv' AS filename FROM customer WHERE c_custkey % 2 = 0 UNION ALL "
-    "SELECT c_custkey, c_name, 'Status-2024-07-01.csv' FROM customer WHERE c_custkey % 2 = 1",
+    "SELECT c_custkey, c_name, CASE WHEN c_acctbal < 0 THEN 'Status-2024-06-30.csv' ELSE 'Status-2024-07-01.csv' END AS filename FROM customer",
 )
 def sent_rows_log(t: Tables):
     target = scratch_dir(t.spark, "sent")
-    for rest, day in ((0, "2024-06-30"), (1, "2024-07-01")):
-        sent = t.customer.select("c_custkey", "c_name").filter(F.col("c_custkey") % 2 == rest)
+    for part, day in (("c_acctbal < 0", "2024-06-30"), ("c_acctbal >= 0", "2024-07-01")):
+        sent = t.customer.filter(part).select("c_custkey", "c_name")
         append(with_export_name(sent, dates.export_name("Status-", day, "yyyy-MM-dd")), target)
     return read_table(t.spark, target)
 

@@ -119,6 +119,7 @@ INPUTS: dict[str, tuple[str, list[str]]] = {
         "events",
         [
             "event_id",
+            "event_type",
             "user_id AS personid",
             "CASE WHEN event_id % 20 < 18 THEN "
             f"' ' || ({PROGRAM.format(k='(user_id + event_id % 5)')}) || "
@@ -248,7 +249,7 @@ INPUTS: dict[str, tuple[str, list[str]]] = {
             "ELSE CAST(100000000 + c_custkey AS STRING) END AS ssn",
         ],
     ),
-    "known_crosswalk": ("customer", ["c_custkey AS cdwaid", "c_custkey % 4 AS bucket"]),
+    "known_crosswalk": ("customer", ["c_custkey AS cdwaid", "c_mktsegment AS segment"]),
     "credential": (
         "customer",
         [
@@ -312,6 +313,7 @@ INPUTS: dict[str, tuple[str, list[str]]] = {
         "orders",
         [
             "o_orderkey",
+            "o_orderpriority",
             "CASE WHEN o_orderkey % 71 = 0 THEN 'abc' WHEN o_orderkey % 73 = 0 THEN NULL ELSE CAST(o_custkey AS STRING) END AS form_id",
             f"CASE o_orderkey % 5 WHEN 0 THEN {us_date(ORDER_DAY)} WHEN 1 THEN replace({us_date(ORDER_DAY)}, '/', '-') "
             f"WHEN 2 THEN CAST({ORDER_DAY} AS STRING) WHEN 3 THEN replace({us_date(ORDER_DAY)}, '/', '') ELSE 'soon' END AS completion_date",
@@ -334,7 +336,7 @@ INPUTS: dict[str, tuple[str, list[str]]] = {
     "sheet": (
         "lineitem",
         [
-            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_linestatus",
             "CASE WHEN l_orderkey % 29 = 0 THEN 'x' || l_orderkey WHEN l_orderkey % 31 = 0 THEN '1234567890123' ELSE CAST(l_orderkey AS STRING) END AS learner_id",
             "'K' || (l_partkey % 3) AS class_id",
             "'Class ' || (l_partkey % 3) AS class_title",
@@ -360,6 +362,7 @@ INPUTS: dict[str, tuple[str, list[str]]] = {
         "customer",
         [
             "c_custkey",
+            "c_mktsegment AS segment",
             "' Last' || c_custkey AS col0",
             "'First' AS col1",
             f"{us_date(DOB)} AS col2",

@@ -32,7 +32,7 @@ PREV = [
     "o_orderstatus AS status",
 ]
 CUR_SQL = f"(SELECT {', '.join(CUR)} FROM orders)"
-PREV_SQL = f"(SELECT {', '.join(PREV)} FROM orders WHERE o_orderkey % 4 <> 0)"
+PREV_SQL = f"(SELECT {', '.join(PREV)} FROM orders WHERE o_orderpriority <> '1-URGENT')"
 HASHED = ["custkey", "priority", "status"]
 HASH_SQL = (
     "md5(CAST(custkey AS VARCHAR) || chr(31) || coalesce(priority, chr(0)) || chr(31) || coalesce(status, chr(0)))"
@@ -44,7 +44,7 @@ def _cur(t: Tables) -> DataFrame:
 
 
 def _prev(t: Tables) -> DataFrame:
-    return t.orders.filter("o_orderkey % 4 <> 0").selectExpr(*PREV)
+    return t.orders.filter("o_orderpriority <> '1-URGENT'").selectExpr(*PREV)
 
 
 @query(
@@ -72,23 +72,23 @@ EXAM = [
     "o_orderstatus AS status",
 ]
 _EXAM_SQL = (
-    f"(SELECT o_orderkey, nullif(studentid, '') AS studentid, CAST(try_strptime(examdate, ['%m/%d/%Y', '%m-%d-%Y']) AS DATE) AS examdate, status "
-    f"FROM (SELECT o_orderkey, {', '.join(EXAM)} FROM orders))"
+    f"(SELECT o_orderpriority, nullif(studentid, '') AS studentid, CAST(try_strptime(examdate, ['%m/%d/%Y', '%m-%d-%Y']) AS DATE) AS examdate, status "
+    f"FROM (SELECT o_orderpriority, {', '.join(EXAM)} FROM orders))"
 )
 _EXAM_HASH = "md5(concat_ws('', studentid, strftime(examdate, '%Y-%m-%d'), status))"
 
 
 @query(
     "hash_diff_insert",
-    f"SELECT studentid, examdate, status FROM {_EXAM_SQL} WHERE o_orderkey % 3 <> 0 AND {_EXAM_HASH} NOT IN "
-    f"(SELECT {_EXAM_HASH} FROM {_EXAM_SQL} WHERE o_orderkey % 3 = 0 OR o_orderkey % 4 = 0)",
+    f"SELECT studentid, examdate, status FROM {_EXAM_SQL} WHERE o_orderpriority <> '1-URGENT' AND {_EXAM_HASH} NOT IN "
+    f"(SELECT {_EXAM_HASH} FROM {_EXAM_SQL} WHERE o_orderpriority IN ('1-URGENT', '2-HIGH'))",
 )
 def hash_diff_insert(t: Tables):
-    exams = m.blank_to_null(t.orders.selectExpr("o_orderkey", *EXAM)).withColumn(
+    exams = m.blank_to_null(t.orders.selectExpr("o_orderpriority", *EXAM)).withColumn(
         "examdate", dates.parse_date("examdate", "MM/dd/yy", "MM/dd/yyyy", "MM-dd-yyyy", "MMddyyyy", as_of=AS_OF)
     )
-    new = exams.filter("o_orderkey % 3 <> 0").drop("o_orderkey")
-    held = exams.filter("o_orderkey % 3 = 0 OR o_orderkey % 4 = 0").drop("o_orderkey")
+    new = exams.filter("o_orderpriority <> '1-URGENT'").drop("o_orderpriority")
+    held = exams.filter("o_orderpriority IN ('1-URGENT', '2-HIGH')").drop("o_orderpriority")
     return delta.new_by_hash(new, held, EXAM_COLS, mode="plain")
 
 
@@ -108,11 +108,11 @@ def insert_if_absent(t: Tables):
     with_inputs(
         ["provider", "known_crosswalk"],
         "SELECT DISTINCT CAST(personid AS BIGINT) AS cdwaid, ssn AS revealed FROM provider p WHERE ssn IS NOT NULL AND NOT EXISTS "
-        "(SELECT 1 FROM known_crosswalk k WHERE k.bucket <> 0 AND k.cdwaid = CAST(p.personid AS BIGINT))",
+        "(SELECT 1 FROM known_crosswalk k WHERE k.segment <> 'BUILDING' AND k.cdwaid = CAST(p.personid AS BIGINT))",
     ),
 )
 def extend_crosswalk(t: Tables):
-    known = t.input("known_crosswalk").filter("bucket <> 0")
+    known = t.input("known_crosswalk").filter("segment <> 'BUILDING'")
     new = p.extend_crosswalk(t.input("provider"), known, CHECK_KEY)
     return hashing.reveal_column(new, "fullssn", CHECK_KEY, to="revealed").select("cdwaid", "revealed")
 
@@ -877,7 +877,7 @@ def id_extract(t: Tables):
 # ---- report files and exports
 
 _REPORT_SQL = (
-    "SELECT c_custkey, trim(col0) AS filelastname, col1 AS filefirstname, col2 AS filereceiveddate, trim(col3) AS registryname, "
+    "SELECT c_custkey, segment, trim(col0) AS filelastname, col1 AS filefirstname, col2 AS filereceiveddate, trim(col3) AS registryname, "
     "nullif(substring(replace(col4, '.', ''), 5, 16), '') AS credentialnumber, nullif(col5, '') AS credentialstatus, col6 AS applicationdate, "
     "col7 AS dateupdated, instructor_text, filename, strftime(try_strptime(substr(filename, 17, 14), '%Y%m%d%H%M%S'), '%Y-%m-%d %H:%M:%S') AS filedate FROM report"
 )
@@ -902,12 +902,12 @@ def report_preamble_load(t: Tables):
         + ", ".join(f"{_day(d, '%m/%d/%Y')} AS {d}" for d in ("filereceiveddate", "applicationdate", "dateupdated"))
         + ", CAST(try_strptime(substr(filename, 17, 8), '%Y%m%d') AS DATE) AS reportdate, regexp_split_to_array(instructor_text, '\\s+')[1] AS approvedinstructorcode, "
         "regexp_split_to_array(instructor_text, '\\s+')[2] || ' ' || regexp_split_to_array(instructor_text, '\\s+')[3] AS approvedinstructorname "
-        "FROM loaded WHERE c_custkey % 4 <> 0",
+        "FROM loaded WHERE segment <> 'BUILDING'",
     ),
 )
 def report_finalize(t: Tables):
     loaded = _report(t)
-    target = loaded.filter("c_custkey % 4 = 0").select("credentialnumber")
+    target = loaded.filter("segment = 'BUILDING'").select("credentialnumber")
     done = r.finalize_report(loaded, target, "Classified File ", instructor="instructor_text")
     return done.select(
         "credentialnumber", "filereceiveddate", "applicationdate", "dateupdated", "reportdate",
