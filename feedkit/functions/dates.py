@@ -31,10 +31,6 @@ _SANE_YEAR = r"(19(?!00)\d{2}|[2-9]\d{3})"
 _TOKEN = re.compile("yyyy|yy|MM|dd")
 
 
-# Put in front of a rewritten text; no feed uses it, so text that fits no format stays unparsed.
-_MARK = "\u001f"
-
-
 def _shape(fmt: str, sane: bool) -> tuple[str, list[str]]:
     """Pattern of a date format without anchors, and its tokens in order."""
     parts = _LOOSE if re.search("[^A-Za-z]", fmt) else _PARTS
@@ -44,19 +40,21 @@ def _shape(fmt: str, sane: bool) -> tuple[str, list[str]]:
     return _TOKEN.sub(lambda m: parts[m[0]], literal), _TOKEN.findall(fmt)
 
 
-def _full_year(text: Column, fmt: str, newest: int) -> Column:
-    """Write out the century of a two-digit year: 20xx up to ``newest``, else 19xx."""
-    pattern, tokens = _shape(fmt, sane=False)
-    seps = re.findall("[^A-Za-z]", fmt)
+# Put in front of a text: a mark no date begins with, so that text no pattern rewrites stays unparsed, and the
+# centuries a match with a two-digit year takes its own from.
+_MARK, _CENTURIES = "~", "2019"
 
-    def dated(century: str) -> str:
-        refs = [(century if t == "yy" else "") + f"${i}" for i, t in enumerate(tokens, 1)]
-        return "".join(r + s for r, s in zip(refs, [*seps, ""]))
 
-    if newest >= 0:
-        recent = pattern.replace(_PARTS["yy"], f"({_up_to(newest)})")
-        text = F.regexp_replace(text, f"^{recent}$", dated("20"))
-    return F.regexp_replace(text, f"^{pattern}$", dated("19"))
+def _alternatives(fmt: str, sane: bool, newest: int | None) -> list[tuple[str, str, list[str]]]:
+    """Patterns of a format, with the role of each of their groups; two per format with a two-digit year."""
+    pattern, tokens = _shape(fmt, sane)
+    if "yyyy" in fmt:
+        return [("" if newest is None else _CENTURIES, pattern, tokens)]
+    older = ("20(19)", pattern, ["yyyy", *tokens])
+    if newest < 0:
+        return [older]
+    recent = pattern.replace(_PARTS["yy"], f"({_up_to(newest)})")
+    return [("(20)19", recent, ["yyyy", *tokens]), older]
 
 
 def parse_date(c: Column | str, *formats: str, as_of=None, years_ahead: int = 0, sane: bool = False) -> Column:
@@ -71,22 +69,21 @@ def parse_date(c: Column | str, *formats: str, as_of=None, years_ahead: int = 0,
     """
     if sum(not re.search("[^A-Za-z]", f) for f in formats) > 1:
         return F.coalesce(*[parse_date(c, f, as_of=as_of, years_ahead=years_ahead, sane=sane) for f in formats])
-    text = F.trim(as_col(c))
-    patterns, refs = [], {"yyyy": "", "MM": "", "dd": ""}
-    group = 0
-    for fmt in dict.fromkeys(f if "yyyy" in f else f.replace("yy", "yyyy") for f in formats):
-        pattern, tokens = _shape(fmt, sane)
-        patterns.append(pattern)
-        for token in tokens:
-            group += 1
-            refs[token] += f"${group}"
+    lead, newest = _MARK, None
+    if any("yyyy" not in f for f in formats):
+        day = dt.date.today() if as_of is None else dt.date.fromisoformat(str(as_of))
+        lead, newest = _MARK + _CENTURIES, min(day.year + years_ahead - 2000, 99)
+    text = F.concat(F.lit(lead), F.trim(as_col(c)))
+    patterns, refs, group = [], {"yyyy": "", "MM": "", "dd": ""}, 0
     for fmt in formats:
-        if "yyyy" not in fmt:
-            day = dt.date.today() if as_of is None else dt.date.fromisoformat(str(as_of))
-            text = _full_year(text, fmt, min(day.year + years_ahead - 2000, 99))
+        for century, pattern, roles in _alternatives(fmt, sane, newest):
+            patterns.append(century + pattern)
+            for role in roles:
+                group += 1
+                refs["yyyy" if role == "yy" else role] += f"${group}"
     # Only the groups of the alternative that matched hold text; the others add nothing.
-    iso = F.regexp_replace(text, f"^(?:{'|'.join(patterns)})$", f"{_MARK}{refs['yyyy']}-{refs['MM']}-{refs['dd']}")
-    return F.split_part(iso, F.lit(_MARK), F.lit(2)).try_cast("date")
+    iso = F.regexp_replace(text, f"^{_MARK}(?:{'|'.join(patterns)})$", f"{refs['yyyy']}-{refs['MM']}-{refs['dd']}")
+    return iso.try_cast("date")
 
 
 # Shapes accepted by the free-form parser.

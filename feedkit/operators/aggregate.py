@@ -53,14 +53,18 @@ def flatten_sheet(df: DataFrame, titles: Sequence[str], keep: Sequence[str] = ()
     array<struct<value, virtualColumnId>>>>. A sheet carries its own column ids, so titles are found inside the
     record and nothing is shuffled.
     """
-    rows = df.select(*keep, "columns", F.explode("rows").alias("_row"))
-
-    def cell(title: str) -> Column:
-        ids = F.transform(F.filter("columns", lambda c: c["title"] == F.lit(title)), lambda c: c["virtualId"])
-        cells = F.filter("_row.cells", lambda x: F.array_contains(ids, x["virtualColumnId"]))
-        return F.get(cells, F.lit(0))["value"].alias(title)
-
-    return rows.select(*keep, F.col("_row.rowNumber").alias("rowNumber"), *[cell(t) for t in titles])
+    # The ids behind a title are the sheet's, so they are found before its rows are spread out.
+    ids = {
+        f"_ids{i}": F.transform(F.filter("columns", lambda c: c["title"] == F.lit(t)), lambda c: c["virtualId"])
+        for i, t in enumerate(titles)
+    }
+    rows = df.select(*keep, *[c.alias(n) for n, c in ids.items()], F.explode("rows").alias("_row"))
+
+    def cell(of: str) -> Column:
+        return F.get(F.filter("_row.cells", lambda x: F.array_contains(F.col(of), x["virtualColumnId"])), F.lit(0))["value"]
+
+    cells = [cell(of).alias(t) for of, t in zip(ids, titles)]
+    return rows.select(*keep, F.col("_row.rowNumber").alias("rowNumber"), *cells)
 
 
 def explode_cells(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
