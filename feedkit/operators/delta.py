@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.hashing import row_hash
 from ..functions.text import as_col
-from .relate import anti
+from .relate import anti, lookup
 
 
 def flag_delta(
@@ -32,7 +32,7 @@ def flag_delta(
 
     seen = prev.select(ident(prev).alias("_seen")).filter("_seen IS NOT NULL").distinct()
     rows = cur.distinct().withColumn("_ident", ident(cur))
-    joined = rows.join(seen, F.col("_ident") == F.col("_seen"), "left")
+    joined = lookup(rows, seen, [("_ident", "_seen")])
     return joined.withColumn(to, F.col("_seen").isNull()).drop("_ident", "_seen")
 
 
@@ -43,5 +43,5 @@ def new_by_key(cur: DataFrame, target: DataFrame, key: Sequence[str]) -> DataFra
 
 def new_by_hash(cur: DataFrame, target: DataFrame, cols: Sequence[str], mode: str = "safe") -> DataFrame:
     """Rows whose hash over ``cols`` the target lacks; copies within ``cur`` stay."""
-    held = target.select(row_hash(*cols, mode=mode).alias("_hash")).distinct()
+    held = target.select(row_hash(*cols, mode=mode).alias("_hash"))
     return cur.withColumn("_hash", row_hash(*cols, mode=mode)).join(held, ["_hash"], "left_anti").drop("_hash")

@@ -20,6 +20,23 @@ def join_on_exprs(
     return lhs.join(rhs, keys, how).drop(*keys)
 
 
+def lookup(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], how: str = "left") -> DataFrame:
+    """Join with a side that was grouped, or made distinct, by the keys of this join.
+
+    Spark would reuse the grouping's shuffle for the join, and adaptive execution splits a hot key only where both
+    inputs of a join are plain shuffles. Joining on the hash of the keys as well makes Spark shuffle the grouped
+    side once more, which is little after grouping, and leaves the hot key of the other side to be split.
+    """
+    pairs = [(left[a], right[b]) for a, b in on]
+    cond = pairs[0][0] == pairs[0][1]
+    for a, b in pairs[1:]:
+        cond = cond & (a == b)
+    # Equal values hash alike only within one type; other pairs join as they are.
+    if all(left.schema[a].dataType == right.schema[b].dataType for a, b in on):
+        cond = cond & (F.xxhash64(*[a for a, _ in pairs]) == F.xxhash64(*[b for _, b in pairs]))
+    return left.join(right, cond, how)
+
+
 def join_any_key(left: DataFrame, right: DataFrame, key: str, others: Sequence[str]) -> DataFrame:
     """Inner join where ``left.key`` equals any of the right columns ``others``.
 
@@ -53,7 +70,7 @@ def anti(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
 def with_partner_flag(df: DataFrame, other: DataFrame, key: str, other_key: str, to: str) -> DataFrame:
     """Boolean column: does ``other`` hold this key? Usable inside a larger condition."""
     keys = other.select(F.col(other_key).alias("_okey")).filter("_okey IS NOT NULL").distinct()
-    marked = df.join(keys.withColumn("_hit", F.lit(True)), F.col(key) == F.col("_okey"), "left")
+    marked = lookup(df, keys.withColumn("_hit", F.lit(True)), [(key, "_okey")])
     return marked.withColumn(to, F.coalesce(F.col("_hit"), F.lit(False))).drop("_okey", "_hit")
 
 
@@ -84,8 +101,8 @@ def find_conflicts(df: DataFrame, ref: DataFrame, key: str, id_col: str, ref_key
     )
     per_key = per_id.groupBy("_key").agg(F.sum("_n").alias("_total"))
     own = per_id.select(F.col("_key").alias("_key2"), F.col("_id").alias("_id2"), F.col("_n").alias("_own"))
-    joined = df.filter(F.col(id_col).isNotNull()).join(per_key, F.col(key) == F.col("_key"), "inner")
-    joined = joined.join(own, (F.col(key) == F.col("_key2")) & (F.col(id_col) == F.col("_id2")), "left")
+    joined = lookup(df.filter(F.col(id_col).isNotNull()), per_key, [(key, "_key")], "inner")
+    joined = lookup(joined, own, [(key, "_key2"), (id_col, "_id2")])
     conflicts = F.col("_total") - F.coalesce(F.col("_own"), F.lit(0))
     return joined.withColumn("conflicts", conflicts).filter("conflicts > 0").drop("_key", "_total", "_key2", "_id2", "_own")
 
@@ -102,5 +119,5 @@ def has_other_id(df: DataFrame, ref: DataFrame, key: str, id_col: str, ref_key:
     )
     own = F.col(id_col)
     other = (F.col("_low") != own) | (F.col("_high") != own)
-    marked = df.join(held, F.col(key) == F.col("_key"), "left")
+    marked = lookup(df, held, [(key, "_key")])
     return marked.withColumn(to, F.coalesce(other, F.lit(False))).drop("_key", "_low", "_high")

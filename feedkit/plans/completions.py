@@ -10,7 +10,7 @@ from ..functions.dates import parse_date, parse_ts_any
 from ..functions.text import digits_only, field
 from ..operators.mapping import blank_to_null
 from ..operators.ranking import drop_dups, flag_first, keep_first
-from ..operators.relate import join_any_key, join_on_exprs
+from ..operators.relate import join_any_key, lookup
 
 # What every safety-training completion is recorded as.
 SAFETY_COURSE = {
@@ -84,16 +84,9 @@ def validate_completions(df: DataFrame, person: DataFrame, tie: Sequence[str]) -
         F.col("personid").cast("string").alias("_id"),
     ).dropna()
     known = known.distinct().withColumn("_matched", F.lit(True))
-    joined = join_on_exprs(
-        df,
-        known,
-        [
-            (_key("last_name"), F.col("_last")),
-            (_key("learner_email"), F.col("_email")),
-            (F.trim("learner_id"), F.col("_id")),
-        ],
-        "left",
-    ).drop("_last", "_email", "_id")
+    keyed = df.withColumns({"_l": _key("last_name"), "_e": _key("learner_email"), "_i": F.trim("learner_id")})
+    joined = lookup(keyed, known, [("_l", "_last"), ("_e", "_email"), ("_i", "_id")])
+    joined = joined.drop("_l", "_e", "_i", "_last", "_email", "_id")
     ranked = flag_first(joined, ["learner_id", "class_title", "_matched"], ["date", *tie])
     where = F.when(F.col("_matched").isNull(), "unmatched").when(F.col("is_first"), "valid").otherwise("duplicate")
     return ranked.withColumn("route", where).drop("_matched", "is_first")
@@ -145,7 +138,7 @@ def safety_from_transfers(
     ids = eligible.select(F.col("personid").alias("_pid")).distinct()
     valid = df.filter(F.col("isvalid").cast("string") == "true")
     ranked = flag_first(valid, ["personid", "trainingprogram"], ["completeddate", *tie])
-    joined = ranked.join(ids, F.col("personid") == F.col("_pid"), "left")
+    joined = lookup(ranked, ids, [("personid", "_pid")])
     kept = F.col("is_first") & F.col("_pid").isNotNull()
     routed = joined.withColumn("route", F.when(kept, "history").otherwise("log")).drop("_pid", "is_first")
     return _safety(routed, source)
@@ -199,15 +192,13 @@ def unique_completions(history: DataFrame, transcript: DataFrame, tie: Sequence[
     )
     named = history.filter("personid IS NOT NULL").withColumn("_family", course_family("courseid"))
     ranked = flag_first(named, ["personid", "_family"], ["completeddate", *tie])
-    joined = ranked.join(
-        held, (F.col("personid") == F.col("_tp")) & (F.lower("_family") == F.col("_tf")), "left"
-    )
+    joined = lookup(ranked.withColumn("_lower", F.lower("_family")), held, [("personid", "_tp"), ("_lower", "_tf")])
     where = (
         F.when(F.col("courseid").isNull(), "no_course")
         .when(F.col("_tp").isNotNull(), "in_transcript")
         .when(F.col("is_first"), "unique")
         .otherwise("duplicate")
     )
-    routed = joined.withColumn("route", where).drop("_family", "is_first", "_tp", "_tf")
+    routed = joined.withColumn("route", where).drop("_family", "_lower", "is_first", "_tp", "_tf")
     nobody = history.filter("personid IS NULL").withColumn("route", F.lit("no_person"))
     return routed.unionByName(nobody)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.text import field, strip_suffix
 from ..operators.mapping import code_label
 from ..operators.ranking import flag_first
-from ..operators.relate import anti, resolve_id
+from ..operators.relate import anti, lookup, resolve_id
 
 # Program name -> program code.
 PROGRAM_CODES = {
@@ -204,9 +204,10 @@ def _route_all(
     match nothing, are not multiplied, and still spread by person.
     """
     candidate = F.col("is_first") & F.col("hours_ok") & ~skipped
-    held = history.select(*keys).distinct().withColumn("_held", F.lit(True))
+    held = history.select(*[F.col(k).alias(f"_held{i}") for i, k in enumerate(keys)]).distinct()
     asked = marked.withColumn("_hours", F.when(candidate, F.col("_hours")))
-    checked = asked.join(held, list(keys), "left").withColumn("_fresh", candidate & F.col("_held").isNull())
+    checked = lookup(asked, held, [(k, f"_held{i}") for i, k in enumerate(keys)])
+    checked = checked.withColumn("_fresh", candidate & F.col("_held0").isNull()).drop(*held.columns)
     ruled = apply_transfer_rules(checked, person, requirement, program, completed, only=F.col("_fresh"))
     fresh = F.col("_fresh")
     why = (
@@ -225,7 +226,7 @@ def _route_all(
                 "error_message": F.when(fresh, F.col("error_message")),
             }
         )
-        .drop("_held", "_fresh", "_hours", "is_first", "hours_ok", "is_valid")
+        .drop("_fresh", "_hours", "is_first", "hours_ok", "is_valid")
     )
 
 

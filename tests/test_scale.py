@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedkit import catalog
-from feedkit.operators import ranking
+from feedkit.operators import delta, ranking, relate
 from feedkit.session import RUNTIME_SETTINGS, scratch_dir
 
 from .compare import DATA
@@ -84,6 +84,38 @@ def test_hot_key_is_spread(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", RUNTIME_SETTINGS["spark.sql.adaptive.coalescePartitions.enabled"])
 
 
+@pytest.fixture()
+def small_skew_limits(spark, no_broadcast):
+    """Let adaptive execution see skew in test-sized data."""
+    names = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    old = {n: spark.conf.get(n) for n in names}
+    for n, v in names.items():
+        spark.conf.set(n, v)
+    yield
+    for n, v in old.items():
+        spark.conf.set(n, v)
+
+
+def test_hot_join_key_is_split(spark, small_skew_limits):
+    """Joins with a grouped side stay open to skew splitting."""
+    df = spark.range(0, 200_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50_000).alias("k"), "id", F.col("id").cast("string").alias("pad")
+    )
+    other = spark.range(0, 100_000, 1, 4).select((F.col("id") % 40_000).alias("k"), (F.col("id") % 3).alias("held"))
+    flagged = relate.with_partner_flag(df, other, "k", "k", "hit")
+    owned = relate.has_other_id(df, other, "k", "id", "k", "held", "other")
+    marked = delta.flag_delta(df, other.select("k"), key="k")
+    for out in (flagged, owned, marked):
+        assert out.count() == 200_000
+        qe = out._jdf.queryExecution()
+        qe.executedPlan().execute().count()
+        assert "skew=true" in qe.executedPlan().toString()
+
+
 def test_wide_projections_compile(spark):
     """No stage may outgrow generated code: Spark would then interpret it, after logging a failed compile."""
     spark.conf.set("spark.sql.codegen.fallback", "false")
