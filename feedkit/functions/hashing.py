@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .text import as_col
@@ -48,7 +46,3 @@ def reveal_column(df: DataFrame, col: str, key: str | Column, to: str | None = N
 def fingerprint(c: Column | str, key: str) -> Column:
     """Keyed sha-256, stable across runs: an equality key for protected ids."""
     return F.sha2(F.concat(F.lit(key), F.lit("\u001f"), as_col(c).cast("string")), 256)
-
-
-def hash_columns(df: DataFrame, cols: Sequence[str], to: str, mode: str = "safe") -> DataFrame:
-    return df.withColumn(to, row_hash(*cols, mode=mode))
