@@ -134,20 +134,18 @@ def no_replies(spark) -> DataFrame:
     return spark.createDataFrame([], REPLY)
 
 
-# Ascending cells as gaps in one byte, or two where gaps are wide; a full byte (or two) means that the gap goes on.
+# Ascending cells as gaps of two bytes; a gap of 65,535 or more takes further two bytes for each 65,535 in it.
 def pack_gaps(cells: np.ndarray) -> bytes:
     gaps = np.diff(cells, prepend=-1).astype(np.int64)
-    wide = len(cells) > 0 and int(cells[-1]) > 400 * len(cells)
-    top = 0xFFFF if wide else 0xFF
-    more, last = gaps // top, gaps % top
-    out = np.full(int(len(gaps) + more.sum()), top, "<u2" if wide else np.uint8)
+    more, last = gaps // 0xFFFF, gaps % 0xFFFF
+    out = np.full(int(len(gaps) + more.sum()), 0xFFFF, "<u2")
     out[np.cumsum(more + 1) - 1] = last
-    return bytes([wide]) + out.tobytes()
+    return out.tobytes()
 
 
 def unpack_gaps(data: bytes) -> np.ndarray:
-    values = np.frombuffer(data, "<u2" if data[0] else np.uint8, offset=1)
-    return np.cumsum(values.astype(np.int64))[values != (0xFFFF if data[0] else 0xFF)] - 1
+    values = np.frombuffer(data, "<u2")
+    return np.cumsum(values.astype(np.int64))[values != 0xFFFF] - 1
 
 
 def by_block(blocks: np.ndarray) -> Iterator[tuple[int, slice]]:
