@@ -96,10 +96,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> Da
     if hits is None:
         hits = docs.sparkSession.createDataFrame([], "doc_id long, hits array<struct<start:int,span:int,text:string,set:string>>")
         hits = hits.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
-    # Written first: if small, its size tells Spark to broadcast it, and texts are not shuffled.
     grouped = keep(hits.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("hits"))).alias("hits")), "hits")
-    cut = docs.select("doc_id", words(F.col("text")).alias("w"))
-    joined = cut.join(grouped.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
+    # A merge join at every size: hits grow with the documents. Texts are exchanged, which are smaller than their words.
+    own = grouped.withColumnRenamed("doc_id", "_id").hint("merge")
+    joined = docs.select("doc_id", "text").join(own, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    joined = joined.select("doc_id", words(F.col("text")).alias("w"), "hits")
     same = F.filter("hits", lambda h: F.array_join(F.slice("w", h["start"] + 1, h["span"]), " ") == h["text"])
     sized = joined.select("doc_id", F.size("w").cast("long").alias("n_words"), F.coalesce(same, F.array()).alias("hits"))
     spread = F.array_sort(F.transform("hits", lambda h: F.struct(h["start"].alias("a"), (h["start"] + h["span"]).alias("b"))))
