@@ -90,7 +90,9 @@ def with_replies(chunks: DataFrame, replies: DataFrame, fn: Callable[[int, pa.Ta
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return _EMPTY(schema)
-        return fn(left.column("chunk")[0].as_py(), unpacked(left.column("blob")[0].as_py()), right.to_pylist())
+        out = fn(left.column("chunk")[0].as_py(), unpacked(left.column("blob")[0].as_py()), right.to_pylist())
+        pa.default_memory_pool().release_unused()
+        return out
 
     return chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(run, schema)
 
@@ -109,6 +111,7 @@ def each_chunk(chunks: DataFrame, fn: Callable[[int, pa.Table], pa.Table], schem
         for batch in batches:
             for chunk, blob in zip(batch.column("chunk").to_pylist(), batch.column("blob")):
                 yield from fn(chunk, unpacked(blob.as_py())).to_batches()
+                pa.default_memory_pool().release_unused()
 
     return chunks.select("chunk", "blob").mapInArrow(run, schema)
 

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 
 from .words import BASES, ranges
 
-CACHE = 2_000_000  # pieces kept per process, about 50 bytes each
+CACHE = 600_000  # pieces kept per process, about 50 bytes each
 
 
 class Encoder:

@@ -31,7 +31,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=3)
 def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     up, down = np.full(size, base, np.uint64), np.full(size, pow(base, -1, 1 << 64), np.uint64)
     up[0] = down[0] = 1
