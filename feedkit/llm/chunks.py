@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir
 from .words import column, slices
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 CHUNK_DOCS = 1 << 20
 REF_BITS = 23  # a document's reference is its chunk, then these bits for its place there
 SCHEMA = "chunk long, docs int, blob binary"

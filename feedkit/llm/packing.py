@@ -96,38 +96,38 @@ def cut(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFram
         from pyspark import TaskContext
 
         task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        enc = encoder(tokenizer)
-        for batch in batches:
-            texts, keys = column(batch, "text"), column(batch, "doc_id")
-            for a, b in text_slices(texts, 8 << 20):
-                flat, counts = enc.encode(texts.slice(a, b - a))
-                flat, counts = np.insert(flat, np.cumsum(counts), end_id).astype("<u4"), counts + 1
-                pieces = (counts + capacity - 1) // capacity
-                doc = np.repeat(np.arange(b - a), pieces)
-                piece = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-                head = counts - (pieces - 1) * capacity
-                length = np.where(piece == 0, head[doc], capacity)
-                start = np.where(piece == 0, 0, head[doc] + (piece - 1) * capacity)
-                ends = np.cumsum(length)
-                order = np.argsort(length, kind="stable")
-                sizes, first, many = np.unique(length[order], return_index=True, return_counts=True)
-                nth = np.empty(len(length), np.int64)
-                nth[order] = np.arange(len(length)) - np.repeat(first, many) + np.repeat(seen[sizes], many)
-                seen[sizes] += many
-                bounds = pa.py_buffer((np.concatenate(([0], ends)) * 4).astype(np.int32))
-                payload = pa.BinaryArray.from_buffers(pa.binary(), len(ends), [None, bounds, pa.py_buffer(flat.tobytes())])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        keys.slice(a, b - a).take(pa.array(doc)).cast(pa.int64()),
-                        pa.array(piece, pa.int32()),
-                        pa.array(start, pa.int64()),
-                        pa.array(length, pa.int64()),
-                        payload,
-                        pa.array(np.full(len(doc), task), pa.int32()),
-                        pa.array(nth, pa.int64()),
-                    ],
-                    ["doc_id", "piece", "start", "length", "ids", "task", "nth"],
-                )
+        with encoder(tokenizer) as enc:
+            for batch in batches:
+                texts, keys = column(batch, "text"), column(batch, "doc_id")
+                for a, b in text_slices(texts, 4 << 20):
+                    flat, counts = enc.encode(texts.slice(a, b - a))
+                    flat, counts = np.insert(flat, np.cumsum(counts), end_id).astype("<u4"), counts + 1
+                    pieces = (counts + capacity - 1) // capacity
+                    doc = np.repeat(np.arange(b - a), pieces)
+                    piece = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                    head = counts - (pieces - 1) * capacity
+                    length = np.where(piece == 0, head[doc], capacity)
+                    start = np.where(piece == 0, 0, head[doc] + (piece - 1) * capacity)
+                    ends = np.cumsum(length)
+                    order = np.argsort(length, kind="stable")
+                    sizes, first, many = np.unique(length[order], return_index=True, return_counts=True)
+                    nth = np.empty(len(length), np.int64)
+                    nth[order] = np.arange(len(length)) - np.repeat(first, many) + np.repeat(seen[sizes], many)
+                    seen[sizes] += many
+                    bounds = pa.py_buffer((np.concatenate(([0], ends)) * 4).astype(np.int32))
+                    payload = pa.BinaryArray.from_buffers(pa.binary(), len(ends), [None, bounds, pa.py_buffer(flat.tobytes())])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            keys.slice(a, b - a).take(pa.array(doc)).cast(pa.int64()),
+                            pa.array(piece, pa.int32()),
+                            pa.array(start, pa.int64()),
+                            pa.array(length, pa.int64()),
+                            payload,
+                            pa.array(np.full(len(doc), task), pa.int32()),
+                            pa.array(nth, pa.int64()),
+                        ],
+                        ["doc_id", "piece", "start", "length", "ids", "task", "nth"],
+                    )
 
     return docs.select("doc_id", "text").mapInArrow(run, PIECES)
 

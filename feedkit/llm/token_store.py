@@ -75,7 +75,6 @@ def _segments(tokenizer: str, end_id: int | None, segment_tokens: int):
 
         part, done, first = TaskContext.get().partitionId(), 0, 0
         docs, lengths, ids, held = [], [], [], 0
-        enc = encoder(tokenizer)
 
         def flush():
             nonlocal docs, lengths, ids, held, done, first
@@ -85,18 +84,19 @@ def _segments(tokenizer: str, end_id: int | None, segment_tokens: int):
             docs, lengths, ids, held = [], [], [], 0
             return pa.RecordBatch.from_pylist([row], schema=_ARROW)
 
-        for batch in batches:
-            texts, keys = column(batch, "text"), column(batch, "doc_id").to_pylist()
-            for a, b in text_slices(texts, 8 << 20):
-                flat, counts = enc.encode(texts.slice(a, b - a))
-                if end_id is not None:
-                    flat, counts = np.insert(flat, np.cumsum(counts), end_id), counts + 1
-                docs += keys[a:b]
-                lengths += counts.tolist()
-                ids.append(flat)
-                held += len(flat)
-                if held >= segment_tokens:
-                    yield flush()
+        with encoder(tokenizer) as enc:
+            for batch in batches:
+                texts, keys = column(batch, "text"), column(batch, "doc_id").to_pylist()
+                for a, b in text_slices(texts, 4 << 20):
+                    flat, counts = enc.encode(texts.slice(a, b - a))
+                    if end_id is not None:
+                        flat, counts = np.insert(flat, np.cumsum(counts), end_id), counts + 1
+                    docs += keys[a:b]
+                    lengths += counts.tolist()
+                    ids.append(flat)
+                    held += len(flat)
+                    if held >= segment_tokens:
+                        yield flush()
         if docs:
             yield flush()
 

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import os
-from functools import lru_cache
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -126,6 +127,8 @@ class Encoder:
         return ids, np.diff(upto[np.searchsorted(cuts, bounds)])
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+@contextmanager
+def encoder(path: str) -> Iterator[Encoder]:
+    """An encoder for one task; its pieces go with it, as Python workers live on and may next run something else."""
+    yield Encoder(path)
+    pa.default_memory_pool().release_unused()

@@ -40,7 +40,7 @@ def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse modulo 2**64, at least ``n + 1`` of them."""
-    size = 1 << 20
+    size = 1 << 19
     while size < n + 1:
         size *= 2
     return _powers(base, size)
@@ -117,7 +117,7 @@ def slices(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         at = to
 
 
-def text_slices(texts: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def text_slices(texts: pa.Array, most: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``most`` bytes of text each, so that working memory does not follow the batch size."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     return slices(sizes, most)
