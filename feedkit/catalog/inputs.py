@@ -130,6 +130,7 @@ INPUTS: dict[str, tuple[str, list[str]]] = {
             f"ELSE CAST({PROGRAM_HOURS.format(k='(user_id + event_id % 5)')} - (event_id % 3) AS STRING) END AS credithours",
             "CAST(ts AS DATE) AS completed_date",
             "CASE WHEN event_id % 13 = 0 THEN 'False' ELSE 'True' END AS finished",
+            "CASE event_id % 4 WHEN 0 THEN 'class a' WHEN 1 THEN 'class b' WHEN 2 THEN 'class c' END AS continuing_education_information_1",
         ],
     ),
     "program_catalog": (

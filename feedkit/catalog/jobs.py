@@ -489,7 +489,7 @@ def course_name_clean(t: Tables):
     "transfer_survey",
     with_inputs(
         ["survey", "program_catalog", "person", "requirement", "transfer_history"],
-        f", {_CLEANED}, firsts AS (SELECT *, row_number() OVER (PARTITION BY personid, trainingprogramcode, credithours "
+        f", {_CLEANED}, firsts AS (SELECT *, row_number() OVER (PARTITION BY personid, trainingprogramcode, continuing_education_information_1 "
         f"ORDER BY completed_date NULLS FIRST, event_id, trainingprogramcode) AS rn FROM titled), marked AS (SELECT *, {_SURVEY_OK} AS ok, "
         "EXISTS (SELECT 1 FROM transfer_history h WHERE h.personid = f.personid AND h.trainingprogram = f.trainingprogramtype "
         "AND CAST(h.transferhours AS DECIMAL(5,2)) = try_cast(f.credithours AS DECIMAL(5,2)) AND h.coursecode = f.coursecode) AS held FROM firsts f), "

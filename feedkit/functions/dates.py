@@ -57,6 +57,11 @@ def _alternatives(fmt: str, sane: bool, newest: int | None) -> list[tuple[str, s
     return [("(20)19", recent, ["yyyy", *tokens]), older]
 
 
+# Years beyond the run that a two-digit year may lie in, where dates are entered ahead: hires, terminations, enrolments.
+# Dates of birth lie in the past.
+YEARS_AHEAD = 20
+
+
 def parse_date(c: Column | str, *formats: str, as_of=None, years_ahead: int = 0, sane: bool = False) -> Column:
     """Date from the first format that fits; null when none does. ``sane`` takes years after 1900 only.
 

@@ -12,9 +12,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import as_col
 
-# Groups a key is spread over before its first row is known. More groups than cores add nothing.
-SALTS = 32
-
 
 def keep_first(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column | str]) -> DataFrame:
     """First row per key.
@@ -31,15 +28,17 @@ def flag_first(
     keys: Sequence[Column | str],
     order: Sequence[Column | str],
     to: str = "is_first",
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Keep all rows and mark the first one per key.
 
-    Here every row must pass through a window, so each key is first spread over ``salts`` groups. Only the
+    Here every row must pass through a window, so each key is first spread over ``salts`` groups, by default as many
+    as the session has shuffle partitions; the result does not depend on the number. Only the
     winner of each group meets the other winners of its key; the rest stay spread. The salt mixes the row's
     values with its task number: different rows spread, copies of one row spread, and a task that is run again
     gives each row the same salt.
     """
+    salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     names = {f"_key{i}": as_col(k) for i, k in enumerate(keys)}
     key_cols = [F.col(k) for k in names]
     spread = F.pmod(F.xxhash64(*[as_col(c) for c in df.columns]) + F.spark_partition_id(), F.lit(salts))
@@ -54,7 +53,7 @@ def flag_first(
 
 
 def split_first(
-    df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column | str], salts: int = SALTS
+    df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column | str], salts: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(first row per key, all other rows)."""
     marked = flag_first(df, keys, order, "_first", salts)

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.dates import parse_date, parse_ts_any
+from ..functions.dates import YEARS_AHEAD, parse_date, parse_ts_any
 from ..functions.text import digits_only, field
 from ..operators.mapping import blank_to_null
 from ..operators.ranking import drop_dups, flag_first, keep_first
@@ -54,8 +54,8 @@ def clean_sheet_completions(df: DataFrame, order: Sequence[Column | str], as_of=
         tidy = tidy.filter(field(name).isNotNull())
     return tidy.withColumns(
         {
-            "date": parse_date("date", "MM/dd/yy", "MM/dd/yyyy", as_of=as_of),
-            "when enrolled": parse_date("when enrolled", "MM/dd/yy", "MM/dd/yyyy", as_of=as_of),
+            "date": parse_date("date", "MM/dd/yy", "MM/dd/yyyy", as_of=as_of, years_ahead=YEARS_AHEAD),
+            "when enrolled": parse_date("when enrolled", "MM/dd/yy", "MM/dd/yyyy", as_of=as_of, years_ahead=YEARS_AHEAD),
             "instructor": F.regexp_replace("instructor", "'", "’"),
         }
     )

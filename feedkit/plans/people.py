@@ -7,7 +7,7 @@ from dataclasses import dataclass, field as dc_field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.dates import adult, file_date, newest_birth, parse_date, sane_date
+from ..functions.dates import YEARS_AHEAD, adult, file_date, newest_birth, parse_date, sane_date
 from ..functions.hashing import protect_column, source_key
 from ..functions.text import blank_as_null, email_ok, join_address, normalize_phone, pad_id, phone_ok, prefix_phone
 from ..operators.mapping import apply_mapping, code_label, pick_by
@@ -112,7 +112,7 @@ def standardize_person_form(df: DataFrame, codes: AgencyCodes = AgencyCodes(), a
             "mailingaddress": join_address("mailingstreet1", "mailingcity", "mailingstate", "mailingzip"),
             "status": code_label("cg_status", STATUS_LABELS),
             "exempt": F.when(F.col("exempt") == "1", "true").otherwise("false"),
-            "hiredate": parse_date("person_hire_date", *PERSON_DATES, as_of=as_of),
+            "hiredate": parse_date("person_hire_date", *PERSON_DATES, as_of=as_of, years_ahead=YEARS_AHEAD),
             "dob": parse_date("dob", *PERSON_DATES, as_of=as_of, sane=True),
             "ssn": pad_id("ssn", 4),
         }
@@ -163,8 +163,8 @@ def employment_rows(
         {
             "dob": parse_date("dob", *PERSON_DATES, as_of=as_of),
             "ssn": pad_id("ssn", 4),
-            "hiredate": parse_date("person_hire_date", *HIRE_DATES, as_of=as_of, sane=True),
-            "termdate": parse_date("person_termination_date", *TERM_DATES, as_of=as_of, sane=True),
+            "hiredate": parse_date("person_hire_date", *HIRE_DATES, as_of=as_of, years_ahead=YEARS_AHEAD, sane=True),
+            "termdate": parse_date("person_termination_date", *TERM_DATES, as_of=as_of, years_ahead=YEARS_AHEAD, sane=True),
         }
     )
     wanted = ((F.col("cg_status") == NEW_HIRE) & F.col("hiredate").isNotNull()) | (

@@ -279,10 +279,11 @@ def survey_transfers(
     """Survey transfers to one routed frame.
 
     Routes: staging, rule_error, duplicate, rejected_hours, in_history, unfinished. Only finished responses
-    whose hours fit their program reach the rules. History is matched on person, program, hours and course code.
+    whose hours fit their program reach the rules. A duplicate is a later row of the same person, program and class
+    (``continuing_education_information_1``), whatever its hours. History is matched on person, program, hours and course code.
     """
     titled = clean_course(survey.distinct(), catalog)
-    ranked = flag_first(titled, ["personid", "trainingprogramcode", "credithours"], ["completed_date", *tie])
+    ranked = flag_first(titled, ["personid", "trainingprogramcode", "continuing_education_information_1"], ["completed_date", *tie])
     marked = eligible_hours(ranked, "trainingprogramtype", "credithours", survey=True).withColumn(
         "_hours", F.col("credithours").try_cast("decimal(5,2)")
     )

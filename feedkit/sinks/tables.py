@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,13 +12,41 @@ def _is_path(target: str) -> bool:
     return "/" in target
 
 
+def _swap(spark: SparkSession, staged: str, target: str) -> None:
+    """Put a finished folder in the place of another. The old rows go last, so one full copy exists at any moment."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    new, now, old = path(staged), path(target), path(f"{staged}-old")
+    fs = now.getFileSystem(spark._jsc.hadoopConfiguration())
+    had = fs.exists(now)
+    if had and not fs.rename(now, old):
+        raise OSError(f"{target} can't be moved aside; the new rows are in {staged}")
+    if not fs.rename(new, now):
+        if had:
+            fs.rename(old, now)
+        raise OSError(f"{staged} can't be moved to {target}")
+    if had:
+        fs.delete(old, True)
+    spark.catalog.refreshByPath(target)
+
+
 def truncate_load(df: DataFrame, target: str) -> None:
-    """Replace all rows of a table (catalog name or parquet folder), keeping the table definition."""
+    """Replace all rows of a table (catalog name or parquet folder), keeping the table definition.
+
+    The new rows are written in full beside the target before anything of it is touched: ``df`` may read the target,
+    and a job that dies leaves the old rows. Of a catalog table the new rows stay in ``<name>__new_<id>`` if the last
+    step, the copy into the table, fails.
+    """
+    spark, mark = df.sparkSession, uuid.uuid4().hex
     if _is_path(target):
-        df.write.mode("overwrite").parquet(target)
-    elif df.sparkSession.catalog.tableExists(target):
-        names = df.sparkSession.table(target).columns
-        df.select(*[f"`{n}`" for n in names]).write.insertInto(target, overwrite=True)
+        staged = f"{target.rstrip('/')}__new_{mark}"
+        df.write.parquet(staged)
+        _swap(spark, staged, target.rstrip("/"))
+    elif spark.catalog.tableExists(target):
+        names = spark.table(target).columns
+        staged = f"{target}__new_{mark}"
+        df.select(*[f"`{n}`" for n in names]).write.saveAsTable(staged)
+        spark.table(staged).write.insertInto(target, overwrite=True)
+        spark.sql(f"DROP TABLE {staged}")
     else:
         df.write.saveAsTable(target)
 
@@ -54,7 +83,8 @@ def jdbc_write_options(
 def write_jdbc(df: DataFrame, url: str, table: str, properties=None, *, replace: bool, connections: int = 16) -> None:
     """Load into a database table: ``replace`` truncates first, otherwise rows are appended.
 
-    ``connections`` caps the partitions, and so the sessions opened against the database at a time.
+    ``connections`` caps the partitions, and so the sessions opened against the database at a time. With ``replace``
+    the database empties the table before the frame is evaluated: the frame must not read the same table.
     """
     writer = df.repartition(connections).write.format("jdbc").mode("overwrite" if replace else "append")
     writer.options(**jdbc_write_options(url, table, properties, truncate=replace)).save()

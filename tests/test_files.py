@@ -194,3 +194,27 @@ def test_jdbc_options():
         tables.jdbc_options("jdbc:x", "t", split_on="id")
     assert jdbc_write_options("jdbc:x", "t", truncate=True)["truncate"] == "true"
     assert "truncate" not in jdbc_write_options("jdbc:x", "t", truncate=False)
+
+
+def test_truncate_load_of_a_frame_that_reads_its_target(spark, folder):
+    target = folder("snapshot")
+    truncate_load(spark.range(5), target)
+    truncate_load(spark.read.parquet(target).selectExpr("id + 1 AS id"), target)  # map only
+    held = spark.read.parquet(target)
+    truncate_load(held.join(spark.range(3, 100), "id"), target)
+    assert sorted(r[0] for r in spark.read.parquet(target).collect()) == [3, 4, 5]
+    with pytest.raises(Exception):
+        truncate_load(spark.read.parquet(target).selectExpr("IF(id = 5, raise_error('dies'), id) AS id"), target)
+    assert sorted(r[0] for r in spark.read.parquet(target).collect()) == [3, 4, 5]
+
+
+def test_truncate_load_of_a_catalog_table_that_reads_itself(spark):
+    name = "self_read"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    truncate_load(spark.range(4), name)
+    try:
+        truncate_load(spark.table(name).selectExpr("id * 2 AS id"), name)
+        assert sorted(r[0] for r in spark.table(name).collect()) == [0, 2, 4, 6]
+        assert not [t.name for t in spark.catalog.listTables() if t.name.startswith(f"{name}__new")]
+    finally:
+        spark.sql(f"DROP TABLE {name}")

@@ -152,22 +152,28 @@ def test_course_titles(spark):
 
 
 def test_survey_guards_all_programs(spark):
-    """An unfinished or repeated response never reaches staging, whatever its program."""
+    """An unfinished or repeated response never reaches staging, whatever its program. A repeat is of the same class."""
     data = [
-        (1, 1, f"{BT} (BT70)", "CE1", "70", D(2023, 6, 1), "False"),
-        (2, 2, f"{BT} (BT70)", "CE1", "70", D(2023, 6, 2), "True"),
-        (3, 2, f"{BT} (BT70)", "CE1", "70", D(2023, 6, 3), "True"),
-        (4, 3, "other", None, "70", D(2023, 6, 3), "True"),
+        (1, 1, f"{BT} (BT70)", "CE1", "70", D(2023, 6, 1), "False", "a"),
+        (2, 2, f"{BT} (BT70)", "CE1", "70", D(2023, 6, 2), "True", "a"),
+        (3, 2, f"{BT} (BT70)", "CE1", "70", D(2023, 6, 3), "True", "a"),
+        (4, 3, "other", None, "70", D(2023, 6, 3), "True", "a"),
+        (5, 2, f"{BT} (BT70)", "CE1", "70", D(2023, 6, 4), "True", "b"),
+        (6, 2, f"{BT} (BT70)", "CE1", "50", D(2023, 6, 5), "True", "b"),
     ]
     survey = spark.createDataFrame(
-        data, "id int, personid bigint, course_name string, code_text string, credithours string, completed_date date, finished string"
+        data,
+        "id int, personid bigint, course_name string, code_text string, credithours string, completed_date date, finished string, "
+        "continuing_education_information_1 string",
     )
     catalog = spark.createDataFrame([(BT, "201")], "trainingprogramtype string, trainingprogramcode string")
     p = spark.createDataFrame([(1, HIRED), (2, HIRED)], PERSON)
     r = spark.createDataFrame([(1, *BASIC), (2, *BASIC)], REQUIREMENT)
     h = spark.createDataFrame([], "personid bigint, trainingprogram string, transferhours double, coursecode string")
     routed = tr.survey_transfers(survey, catalog, p, r, h, ["id"])
-    assert rows(routed, "id", "route") == [(1, "unfinished"), (2, "staging"), (3, "duplicate"), (4, "rejected_hours")]
+    assert rows(routed, "id", "route") == [
+        (1, "unfinished"), (2, "staging"), (3, "duplicate"), (4, "rejected_hours"), (5, "staging"), (6, "duplicate"),
+    ]
 
 
 def test_resolve_person(spark):
