@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from .words import column, slices
+from .words import column, release, slices
 
 CHUNK_BYTES = 4 << 20
 CHUNK_DOCS = 1 << 20
@@ -71,7 +71,7 @@ def write_chunks(docs: DataFrame, label: str, chunk_bytes: int = CHUNK_BYTES) ->
     spark = docs.sparkSession
     chunks = docs.mapInArrow(_chunked(chunk_bytes), SCHEMA)
     name = f"{label}_{uuid.uuid4().hex}"
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), chunks_parallelism(docs))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     writer = chunks.write.format("parquet").bucketBy(buckets, "chunk").option("compression", "uncompressed")
     writer.option("path", f"{scratch_dir(spark, label)}/chunks").saveAsTable(name)
     table = spark.table(name)
@@ -79,11 +79,6 @@ def write_chunks(docs: DataFrame, label: str, chunk_bytes: int = CHUNK_BYTES) ->
     return table
 
 
-def chunks_parallelism(docs: DataFrame) -> int:
-    """Buckets follow the input's own partitions, up to what one bucketed table can have."""
-    return min(docs.rdd.getNumPartitions(), 50_000)
-
-
 def with_replies(chunks: DataFrame, replies: DataFrame, fn: Callable[[int, pa.Table, list[dict]], Iterator[pa.Table] | pa.Table], schema: str) -> DataFrame:
     """``fn(chunk, documents, replies)`` for every chunk, whether or not it got replies (rows of ``REPLY``)."""
 
@@ -91,7 +86,7 @@ def with_replies(chunks: DataFrame, replies: DataFrame, fn: Callable[[int, pa.Ta
         if not left.num_rows:
             return _EMPTY(schema)
         out = fn(left.column("chunk")[0].as_py(), unpacked(left.column("blob")[0].as_py()), right.to_pylist())
-        pa.default_memory_pool().release_unused()
+        release()
         return out
 
     return chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(run, schema)
@@ -111,7 +106,7 @@ def each_chunk(chunks: DataFrame, fn: Callable[[int, pa.Table], pa.Table], schem
         for batch in batches:
             for chunk, blob in zip(batch.column("chunk").to_pylist(), batch.column("blob")):
                 yield from fn(chunk, unpacked(blob.as_py())).to_batches()
-                pa.default_memory_pool().release_unused()
+                release()
 
     return chunks.select("chunk", "blob").mapInArrow(run, schema)
 

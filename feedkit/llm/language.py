@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import column, text_slices
+from .words import column, release, text_slices
 
 BUCKETS = 1 << 16
 UNDETERMINED = "und"
@@ -153,6 +153,7 @@ def identify(docs: DataFrame, model: Model, carry: tuple[str, ...] = ("doc_id",)
                 carried = [column(batch, c).slice(a, b - a) for c in carry]
                 made = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(all_langs, pa.list_(pa.string())), pa.array(shares, pa.list_(pa.float64()))]
                 yield pa.RecordBatch.from_arrays([*carried, *made], [*carry, "lang_pred", "score", "languages", "proportions"])
+        release()
 
     own = docs.select(*dict.fromkeys([*carry, "text"]))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.select(*carry).schema.fields)

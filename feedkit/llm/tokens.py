@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .words import BASES, ranges
+from .words import BASES, ranges, release
 
 CACHE = 600_000  # pieces kept per process, about 50 bytes each
 
@@ -131,4 +131,4 @@ class Encoder:
 def encoder(path: str) -> Iterator[Encoder]:
     """An encoder for one task; its pieces go with it, as Python workers live on and may next run something else."""
     yield Encoder(path)
-    pa.default_memory_pool().release_unused()
+    release()
