@@ -99,7 +99,7 @@ def cut(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFram
         with encoder(tokenizer) as enc:
             for batch in batches:
                 texts, keys = column(batch, "text"), column(batch, "doc_id")
-                for a, b in text_slices(texts, 4 << 20):
+                for a, b in text_slices(texts, 1 << 20):
                     flat, counts = enc.encode(texts.slice(a, b - a))
                     flat, counts = np.insert(flat, np.cumsum(counts), end_id).astype("<u4"), counts + 1
                     pieces = (counts + capacity - 1) // capacity

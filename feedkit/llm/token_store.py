@@ -87,7 +87,7 @@ def _segments(tokenizer: str, end_id: int | None, segment_tokens: int):
         with encoder(tokenizer) as enc:
             for batch in batches:
                 texts, keys = column(batch, "text"), column(batch, "doc_id").to_pylist()
-                for a, b in text_slices(texts, 4 << 20):
+                for a, b in text_slices(texts, 1 << 20):
                     flat, counts = enc.encode(texts.slice(a, b - a))
                     if end_id is not None:
                         flat, counts = np.insert(flat, np.cumsum(counts), end_id), counts + 1
