@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.hashing import reveal_column
 from ..plans import feeds as f, transfers as tr
-from .jobs import _KEYS, _MATCHED, LMS_HEADINGS
+from ..plans.people import extend_crosswalk
+from .jobs import _KEYS, _MATCHED, LMS_HEADINGS, NEW_PAIRS_SQL
 from .registry import Tables, query, with_inputs
-from .scalars import AS_OF
+from .scalars import AS_OF, CHECK_KEY
 
 
 def _headed(df: DataFrame, mapping) -> DataFrame:
@@ -103,6 +105,15 @@ def load_provider(t: Tables):
     )
 
 
+@query("provider_flow", with_inputs(["provider", "crosswalk", "known_crosswalk"], NEW_PAIRS_SQL))
+def provider_flow(t: Tables):
+    # One routed frame gives the new pairs, whole ids protected, before the rows are masked.
+    rows = t.input("provider").drop("o_orderkey", "isvalid", "filemodifieddate")
+    routed = f.route_provider(_headed(rows, f.PROVIDER), t.input("crosswalk"), "providers-")
+    known = t.input("known_crosswalk").filter("segment <> 'BUILDING'")
+    return reveal_column(extend_crosswalk(routed, known, CHECK_KEY), "fullssn", CHECK_KEY, to="revealed").select("cdwaid", "revealed")
+
+
 @query(
     "load_transfers",
     with_inputs(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions import dates, text
 from ..session import scratch_dir
-from ..sinks.exports import export_delimited, file_log, line_counts, with_export_name
+from ..sinks.exports import export_delimited, file_log, line_counts, name_parts, with_export_name
 from ..sinks.tables import append, truncate, truncate_load
 from ..sources.files import (
     clean_headers,
@@ -243,17 +243,26 @@ def header_cleanup(t: Tables):
     return clean_headers(t.customer.select("c_custkey", "c_name").toDF(' "Client ID" ', '"Name"'))
 
 
+# Files handed out, by the sign of the balance.
+OUTBOUND = {"c_acctbal < 0": "Students_06_30_2024_1.txt", "c_acctbal >= 0": "Students_06_30_2024_2.txt"}
+
+
 @query(
     "outbound_file_log",
-    "SELECT 'students' AS category, DATE '2024-06-30' AS processed_date, count(*) AS n_rows, true AS has_size FROM customer",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS name, 'students' AS category, DATE '2024-06-30' AS processed_date, count(*) AS numberofrows, true AS has_size, "
+        f"true AS is_recent FROM customer WHERE {part}"
+        for part, name in OUTBOUND.items()
+    ),
 )
 def outbound_file_log(t: Tables):
-    path = _dropped(t, t.customer, "outbound", sep="|")
-    log = file_log(t.spark, path, "students", F.lit("2024-06-30").cast("date"), suffix=".csv")
-    # File names are made at run time, so the check sums over files.
-    return log.groupBy("category", "processed_date").agg(
-        F.sum("numberofrows").alias("n_rows"), (F.min("size") > 0).alias("has_size")
-    )
+    path = scratch_dir(t.spark, "outbound")
+    for i, (part, name) in enumerate(OUTBOUND.items()):
+        export_delimited(t.customer.filter(part), f"{path}/{i}", sep="|", single=True)
+        name_parts(t.spark, f"{path}/{i}", name)
+    log = file_log(t.spark, path, "students", F.lit("2024-06-30").cast("date"), suffix=".txt")
+    recent = F.col("modified") > F.current_timestamp() - F.expr("INTERVAL 1 DAY")
+    return log.select("name", "category", "processed_date", "numberofrows", (F.col("size") > 0).alias("has_size"), recent.alias("is_recent"))
 
 
 @query("line_count", "SELECT count(*) AS n_lines FROM orders")

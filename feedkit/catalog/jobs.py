@@ -9,9 +9,9 @@ from ..operators import delta, mapping as m
 from ..operators.ranking import keep_first
 from ..plans import completions as c, extracts as x, people as p, reports as r, transfers as tr
 from ..session import scratch_dir
-from ..sinks.exports import export_delimited, with_export_name
+from ..sinks.exports import export_delimited, name_parts, with_export_name
 from ..sinks.tables import append
-from ..sources.files import read_delimited
+from ..sources.files import read_delimited, skip_preamble, with_file_name
 from ..sources.tables import read_table
 from .inputs import ORDER_DAY, compact_date
 from .registry import Tables, query, with_inputs
@@ -80,14 +80,14 @@ _EXAM_HASH = "md5(concat_ws('', studentid, strftime(examdate, '%Y-%m-%d'), statu
 
 @query(
     "hash_diff_insert",
-    f"SELECT studentid, examdate, status FROM {_EXAM_SQL} WHERE o_orderpriority <> '1-URGENT' AND {_EXAM_HASH} NOT IN "
+    f"SELECT studentid, examdate, status FROM {_EXAM_SQL} WHERE {_EXAM_HASH} NOT IN "
     f"(SELECT {_EXAM_HASH} FROM {_EXAM_SQL} WHERE o_orderpriority IN ('1-URGENT', '2-HIGH'))",
 )
 def hash_diff_insert(t: Tables):
     exams = m.blank_to_null(t.orders.selectExpr("o_orderpriority", *EXAM)).withColumn(
         "examdate", dates.parse_date("examdate", "MM/dd/yy", "MM/dd/yyyy", "MM-dd-yyyy", "MMddyyyy", as_of=AS_OF)
     )
-    new = exams.filter("o_orderpriority <> '1-URGENT'").drop("o_orderpriority")
+    new = exams.drop("o_orderpriority")
     held = exams.filter("o_orderpriority IN ('1-URGENT', '2-HIGH')").drop("o_orderpriority")
     return delta.new_by_hash(new, held, EXAM_COLS, mode="plain")
 
@@ -103,17 +103,25 @@ def insert_if_absent(t: Tables):
     return delta.new_by_key(rows, held, ["k"])
 
 
+NEW_PAIRS_SQL = (
+    ", bad AS (SELECT DISTINCT p.personid FROM provider p JOIN crosswalk x ON p.ssn = x.ssn WHERE CAST(p.personid AS BIGINT) <> x.cdwaid) "
+    "SELECT DISTINCT CAST(personid AS BIGINT) AS cdwaid, ssn AS revealed FROM provider p WHERE length(ssn) BETWEEN 7 AND 9 "
+    "AND NOT coalesce(personid IN (SELECT personid FROM bad), false) AND NOT EXISTS "
+    "(SELECT 1 FROM known_crosswalk k WHERE k.segment <> 'BUILDING' AND k.cdwaid = CAST(p.personid AS BIGINT))"
+)
+
+
 @query(
     "extend_crosswalk",
     with_inputs(
-        ["provider", "known_crosswalk"],
-        "SELECT DISTINCT CAST(personid AS BIGINT) AS cdwaid, ssn AS revealed FROM provider p WHERE ssn IS NOT NULL AND NOT EXISTS "
-        "(SELECT 1 FROM known_crosswalk k WHERE k.segment <> 'BUILDING' AND k.cdwaid = CAST(p.personid AS BIGINT))",
+        ["provider", "crosswalk", "known_crosswalk"],
+        NEW_PAIRS_SQL,
     ),
 )
 def extend_crosswalk(t: Tables):
     known = t.input("known_crosswalk").filter("segment <> 'BUILDING'")
-    new = p.extend_crosswalk(t.input("provider"), known, CHECK_KEY)
+    routed = p.identity_conflicts(t.input("provider").withColumn("personid", F.col("personid").cast("bigint")), t.input("crosswalk"))
+    new = p.extend_crosswalk(routed, known, CHECK_KEY)
     return hashing.reveal_column(new, "fullssn", CHECK_KEY, to="revealed").select("cdwaid", "revealed")
 
 
@@ -539,31 +547,29 @@ def active_instructors(t: Tables):
     return c.active_instructors(t.input("instructor"))
 
 
+_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
 def completions(t: Tables) -> DataFrame:
     """Completions as a learning system gives them: an order line is one, its customer the learner, its part the title."""
     lines = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("day"))
     learners = t.orders.select("o_orderkey", "o_custkey")
     titles = t.part.select("p_partkey", F.concat(F.lit(" "), F.upper("p_name")).alias("class_title"))
-    teachers = t.supplier.select(
-        "s_suppkey", F.concat(F.upper("s_name"), F.lit(" N"), F.col("s_nationkey").cast("string"), F.lit(" ")).alias("instructor")
-    )
     return (
         lines.join(learners, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(titles, F.col("l_partkey") == F.col("p_partkey"))
-        .join(teachers, F.col("l_suppkey") == F.col("s_suppkey"), "left")
-        .select(
-            F.col("o_custkey").alias("learner_id"),
-            "class_title",
-            F.col("day").alias("completiondate"),
-            "instructor",
-            "l_orderkey",
-            "l_linenumber",
-            "l_partkey",
-            "l_suppkey",
-        )
+        .select(F.col("o_custkey").alias("learner_id"), "class_title", F.col("day").alias("completiondate"), *_KEYS)
     )
 
 
+def taught(t: Tables, lines: DataFrame) -> DataFrame:
+    """Completions with their instructor, the line's supplier."""
+    teachers = t.supplier.select(
+        "s_suppkey", F.concat(F.upper("s_name"), F.lit(" N"), F.col("s_nationkey").cast("string"), F.lit(" ")).alias("instructor")
+    )
+    return lines.join(teachers, F.col("l_suppkey") == F.col("s_suppkey"), "left").drop("s_suppkey")
+
+
 COMPLETIONS_SQL = (
     "SELECT o_custkey AS learner_id, ' ' || upper(p_name) AS class_title, CAST(l_shipdate AS DATE) AS completiondate, "
     "upper(s_name) || ' N' || s_nationkey || ' ' AS instructor, l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem "
@@ -584,8 +590,7 @@ ENRICH_SQL = with_inputs(
 
 @query("completions_enrich", ENRICH_SQL)
 def completions_enrich(t: Tables):
-    order = ["completiondate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    first = keep_first(completions(t), ["learner_id", "class_title"], order)
+    first = taught(t, keep_first(completions(t), ["learner_id", "class_title"], ["completiondate", *_KEYS]))
     courses = c.preferred_courses(t.input("catalog"))
     return c.enrich_completions(first, courses, c.active_instructors(t.input("instructor")), "LMS")
 
@@ -613,9 +618,6 @@ def completions_enrich_language(t: Tables):
     return done.select("learner_id", "class_title", "completiondate", "courseid", "trainingsource").distinct()
 
 
-_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-
-
 @query(
     "completions_validate_person",
     with_inputs(
@@ -915,6 +917,51 @@ def report_finalize(t: Tables):
     )
 
 
+# Names of the dropped report files, by the parity of the customer key.
+COMPLETED_FILES = ("Completed File 20240630101500.csv", "Completed File 20240701093000.csv")
+COMPLETED_ROWS = [f"col{i}" for i in range(8)] + ["instructor_text", "col2 AS graduated", "c_custkey AS place"]
+
+
+@query(
+    "completed_report_load",
+    with_inputs(
+        ["report"],
+        "SELECT trim(col0) AS filelastname, trim(col3) AS registryname, nullif(substring(replace(col4, '.', ''), 5, 16), '') AS credentialnumber, "
+        "nullif(col5, '') AS credentialstatus, "
+        + ", ".join(
+            f"{_day(c, '%m/%d/%Y')} AS {d}"
+            for c, d in (("col2", "filereceiveddate"), ("col6", "applicationdate"), ("col7", "dateinstructorupdated"), ("col2", "dategraduatedfor70hours"))
+        )
+        + f", CASE WHEN c_custkey % 2 = 0 THEN '{COMPLETED_FILES[0]}' ELSE '{COMPLETED_FILES[1]}' END AS filename, "
+        "CASE WHEN c_custkey % 2 = 0 THEN DATE '2024-06-30' ELSE DATE '2024-07-01' END AS reportdate, "
+        "regexp_split_to_array(instructor_text, '\\s+')[1] AS approvedinstructorcode, "
+        "regexp_split_to_array(instructor_text, '\\s+')[2] || ' ' || regexp_split_to_array(instructor_text, '\\s+')[3] AS approvedinstructorname "
+        "FROM report WHERE segment <> 'BUILDING'",
+    ),
+)
+def completed_report_load(t: Tables):
+    path = scratch_dir(t.spark, "completed")
+    report = t.input("report")
+    head = t.spark.range(-r.PREAMBLE_ROWS, 0).select(
+        F.concat(F.lit("Report line "), F.col("id").cast("string")).alias("col0"),
+        *[F.lit(None).cast("string").alias(f"col{i}") for i in range(1, 8)],
+        *[F.lit(None).cast("string").alias(c) for c in ("instructor_text", "graduated")],
+        F.col("id").alias("place"),
+    )
+    for k, name in enumerate(COMPLETED_FILES):
+        drop = head.unionByName(report.filter(F.col("c_custkey") % 2 == k).selectExpr(*COMPLETED_ROWS))
+        drop.repartition(1).sortWithinPartitions("place").drop("place").write.csv(f"{path}/{k}")
+        name_parts(t.spark, f"{path}/{k}", name)
+    read = with_file_name(read_delimited(t.spark, path, r.COMPLETED_SCHEMA, header=False, recursive=True))
+    loaded = r.load_report(skip_preamble(read, r.PREAMBLE_ROWS), "credential", "Completed File ")
+    target = _report(t).filter("segment = 'BUILDING'").select("credentialnumber")
+    done = r.finalize_report(loaded, target, "Completed File ", instructor="approvedinstructorcodeandname")
+    return done.select(
+        "filelastname", "registryname", "credentialnumber", "credentialstatus", "filereceiveddate", "applicationdate",
+        "dateinstructorupdated", "dategraduatedfor70hours", "filename", "reportdate", "approvedinstructorcode", "approvedinstructorname",
+    )
+
+
 TRANSITION_ROWS = [
     "'P' || o_custkey AS `providerone ipid`",
     "CAST(o_custkey AS STRING) AS `person id`",
@@ -1002,11 +1049,11 @@ def error_file_export(t: Tables):
     "quarantine_export",
     with_inputs(
         ["person"],
-        "SELECT CAST(personid AS VARCHAR) AS personid, CAST(hiredate AS VARCHAR) AS hiredate, lastname FROM person WHERE status = 'Inactive'",
+        "SELECT CAST(personid AS VARCHAR) AS personid, CAST(hiredate AS VARCHAR) AS hiredate, lastname FROM person",
     ),
 )
 def quarantine_export(t: Tables):
-    rows = t.input("person").filter("status = 'Inactive'").select("personid", "hiredate", "lastname")
+    rows = t.input("person").select("personid", "hiredate", "lastname")
     path = scratch_dir(t.spark, "quarantine")
     export_delimited(x.quarantine_rows(rows, ["personid", "hiredate"]), path, quote_all=True, bom=True)
     read = read_delimited(t.spark, path, escape='"')
@@ -1030,16 +1077,26 @@ STATUS_ROWS = [
 ]
 
 
+_STATUS_TEXT = ("employeeid", "personid", "compliancestatus", "credithours", "completeddate")
+_STATUS_VALUES = (
+    "CAST(o_custkey + 70000 AS VARCHAR) AS employeeid, CAST(o_custkey AS VARCHAR) AS personid, o_orderstatus AS compliancestatus, "
+    f"CAST(CAST(o_totalprice AS DECIMAL(10,2)) AS VARCHAR) AS credithours, CAST({ORDER_DAY} AS VARCHAR) AS completeddate"
+)
+
+
 @query(
     "trainee_status_export",
-    "SELECT CAST(o_custkey + 70000 AS VARCHAR) AS employeeid, o_custkey AS personid, o_orderstatus AS compliancestatus, "
-    f"CAST(o_totalprice AS DECIMAL(10,2)) AS credithours, {ORDER_DAY} AS completeddate, 'Status-2024-06-30.csv' AS filename FROM orders",
+    f"SELECT 'export' AS part, {_STATUS_VALUES}, CAST(NULL AS VARCHAR) AS filename FROM orders "
+    f"UNION ALL SELECT 'log', {_STATUS_VALUES}, 'Status-2024-06-30.csv' FROM orders",
 )
 def trainee_status_export(t: Tables):
+    # Both halves are read back: the file that is handed out, and the log of what was sent in it.
     rows = m.stringify(t.orders.selectExpr(*STATUS_ROWS), ["Employee ID"])
-    export_delimited(rows, scratch_dir(t.spark, "status"), quote_all=True)
-    log = scratch_dir(t.spark, "status-log")
+    path, log = scratch_dir(t.spark, "status"), scratch_dir(t.spark, "status-log")
+    export_delimited(rows, path, quote_all=True)
     sent = with_export_name(rows, dates.export_name("Status-", "2024-06-30", "yyyy-MM-dd"))
     append(m.apply_mapping(sent, x.STATUS_LOG), log)
-    return read_table(t.spark, log)
-
+    read = read_delimited(t.spark, path).withColumnsRenamed({c: c.lower().replace(" ", "") for c in rows.columns})
+    exported = read.select(F.lit("export").alias("part"), *_STATUS_TEXT, F.lit(None).cast("string").alias("filename"))
+    logged = read_table(t.spark, log).select(F.lit("log").alias("part"), *[F.col(c).cast("string") for c in _STATUS_TEXT], "filename")
+    return exported.union(logged)

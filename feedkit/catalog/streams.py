@@ -38,10 +38,17 @@ def archive_file(t: Tables):
     return t.spark.read.schema(SCHEMA).parquet(target)
 
 
-@query("stream_delta_upsert", "SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS o_custkey FROM orders")
+@query(
+    "stream_delta_upsert",
+    "SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS o_custkey FROM orders WHERE o_custkey % 11 <> 0 "
+    "UNION ALL SELECT CAST(NULL AS VARCHAR) FROM orders WHERE o_custkey % 11 = 0",
+)
 def stream_delta_upsert(t: Tables):
     # A customer's first order in any drop adds the customer; which order that is depends on file order.
     target, state = scratch_dir(t.spark, "delta"), scratch_dir(t.spark, "delta-state")
-    stream = stream_feed(t.spark, _drops(t, 4), SCHEMA).drop("filename")
+    # An order without a customer is always new.
+    stream = stream_feed(t.spark, _drops(t, 4), SCHEMA, files_per_batch=2).drop("filename")
+    known = F.when(F.col("o_custkey").cast("bigint") % 11 != 0, F.col("o_custkey"))
+    stream = stream.withColumn("o_custkey", known)
     stream_delta(stream, target, "o_custkey", [F.col("o_orderkey").cast("bigint")], state).awaitTermination()
     return t.spark.read.parquet(target).select("o_custkey")

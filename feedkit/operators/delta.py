@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.hashing import row_hash
 from ..functions.text import as_col
-from .relate import anti, lookup
+from .relate import anti
 
 
 def flag_delta(
@@ -22,7 +22,8 @@ def flag_delta(
     """Mark rows whose trimmed key, or hash of ``cols``, is not in the previous snapshot.
 
     Copies of a row are removed. A row with a null key is new, and a null in the snapshot matches nothing.
-    Both sides are made distinct before they meet.
+    The drop is shuffled once: it meets the snapshot's identities by its own, and copies, which share an identity, are
+    removed where they already lie together.
     """
     if (key is None) == (cols is None):
         raise ValueError("give either key or cols")
@@ -31,9 +32,12 @@ def flag_delta(
         return row_hash(*cols, mode=mode) if cols is not None else F.trim(as_col(key).cast("string"))
 
     seen = prev.select(ident(prev).alias("_seen")).filter("_seen IS NOT NULL").distinct()
-    rows = cur.distinct().withColumn("_ident", ident(cur))
-    joined = lookup(rows, seen, [("_ident", "_seen")])
-    return joined.withColumn(to, F.col("_seen").isNull()).drop("_ident", "_seen")
+    # The second key makes Spark shuffle the distinct identities once more, so that a hot one of the drop can be split.
+    seen = seen.withColumn("_seen_mark", F.xxhash64("_seen"))
+    rows = cur.withColumn("_ident", ident(cur)).withColumn("_mark", F.xxhash64("_ident"))
+    joined = rows.join(seen, (F.col("_ident") == F.col("_seen")) & (F.col("_mark") == F.col("_seen_mark")), "left")
+    flagged = joined.withColumn(to, F.col("_seen").isNull()).drop("_seen", "_seen_mark")
+    return flagged.distinct().drop("_ident", "_mark")
 
 
 def new_by_key(cur: DataFrame, target: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -69,10 +71,13 @@ def active_employers(relations: DataFrame, employers: DataFrame, trusts: DataFra
     return concat_distinct(active.join(named, "employerid"), ["personid"], "employername", "activeemployers")
 
 
-def _newest(requirements: DataFrame, keep: Column, prefix: str, columns: Sequence[str]) -> DataFrame:
-    order = [F.col("trainingid").desc_nulls_last(), F.col("completeddate").desc_nulls_last()]
-    newest = keep_first(requirements.filter(keep), ["personid"], order)
-    return newest.select("personid", *[F.col(c).alias(prefix + c) for c in columns])
+def _newest(requirements: DataFrame, kinds: Mapping[str, tuple[Column, Sequence[str]]]) -> DataFrame:
+    """Persons with a requirement of every kind, and columns of the newest of each, in one pass. Nulls are oldest."""
+    order = F.struct("trainingid", "completeddate")
+    newest = [F.max_by(F.struct(*cols), F.when(keep, order)).alias(kind) for kind, (keep, cols) in kinds.items()]
+    wanted = reduce(or_, [keep for keep, _ in kinds.values()])
+    both = requirements.filter(wanted).groupBy("personid").agg(*newest).dropna(subset=list(kinds))
+    return both.select("personid", *[F.col(f"{k}.{c}").alias(f"{k}_{c}") for k, (_, cols) in kinds.items() for c in cols])
 
 
 def student_extract(
@@ -101,8 +106,13 @@ def student_extract(
         raise ValueError(f"unknown kind {kind!r}")
     basic = (F.col("trainingprogramcode") == BASIC_CODE) & (F.col("trackingdate") >= F.lit(TRACKED_FROM).cast("date")) & state
     safety = (F.col("trainingprogramcode") == SAFETY_CODE) & done.isNotNull() & (F.col("earnedhours") == SAFETY_HOURS)
-    bt = _newest(requirements, basic, "bt_", ["duedate", "completeddate", "earnedhours", "trackingdate"])
-    os = _newest(requirements, safety, "os_", ["completeddate", "earnedhours"])
+    trained = _newest(
+        requirements,
+        {
+            "bt": (basic, ["duedate", "completeddate", "earnedhours", "trackingdate"]),
+            "os": (safety, ["completeddate", "earnedhours"]),
+        },
+    )
     teacher = keep_first(
         transcript.filter(F.col("trainingprogramcode") == BASIC_CODE).select(
             "personid", "instructorid", "instructorname", "completeddate"
@@ -115,8 +125,7 @@ def student_extract(
     active = person.filter(F.upper("status") == "ACTIVE").drop("credentialnumber")
 
     star = (
-        active.join(bt, "personid")
-        .join(os, "personid")
+        active.join(trained, "personid")
         .join(employers, "personid")
         .join(pending, "personid")
         .join(teacher, "personid", "left")

@@ -212,15 +212,27 @@ def load_transfer_survey(df: DataFrame, previous: DataFrame, prefix: str) -> Dat
     return flag_delta(rows, previous, key="responseid")
 
 
-def load_provider(df: DataFrame, crosswalk: DataFrame, prefix: str) -> DataFrame:
-    """Provider feed: clean text, identity routes (``ok``, ``duplicate_ssn``, ``bad_length``), last four of the ssn."""
+def route_provider(df: DataFrame, crosswalk: DataFrame, prefix: str) -> DataFrame:
+    """Provider feed: clean text, identity routes (``ok``, ``duplicate_ssn``, ``bad_length``), whole ssn.
+
+    ``people.extend_crosswalk`` takes its new pairs from here; ``mask_provider`` gives the rows to store.
+    """
     text = blank_to_null(trim_all(clean_headers(df)))
     named = load_feed(text, [*PROVIDER, *_dated("date")], prefix, "yyyy-MM-dd", "filemodifieddate")
     keyed = named.withColumn("personid", F.col("personid").try_cast("bigint"))
-    routed = identity_conflicts(clean_provider_rows(keyed), crosswalk)
+    return identity_conflicts(clean_provider_rows(keyed), crosswalk)
+
+
+def mask_provider(routed: DataFrame) -> DataFrame:
+    """Routed provider rows as they are stored: last four of the ssn, text ids."""
     return routed.withColumns({"ssn": last4("ssn"), "personid": F.col("personid").cast("string")})
 
 
+def load_provider(df: DataFrame, crosswalk: DataFrame, prefix: str) -> DataFrame:
+    """Provider feed routed and masked in one step, for callers that do not keep a crosswalk."""
+    return mask_provider(route_provider(df, crosswalk, prefix))
+
+
 def _dated(type_name: str) -> MappingList:
     return [
         ("filename", "string", "filename", "string"),

@@ -302,8 +302,12 @@ def identity_conflicts(df: DataFrame, crosswalk: DataFrame, low: int = 7, high:
 
 
 def extend_crosswalk(df: DataFrame, crosswalk: DataFrame, key: str) -> DataFrame:
-    """New (protected ssn, external id) pairs for persons the crosswalk lacks; null ssns are skipped."""
-    pairs = df.select(F.col("personid").try_cast("bigint").alias("cdwaid"), "ssn").filter("ssn IS NOT NULL").distinct()
+    """New (protected ssn, external id) pairs for persons the crosswalk lacks.
+
+    ``df`` comes routed from ``identity_conflicts`` and holds whole ssns: conflicts and bad lengths are left out, as are
+    null ssns.
+    """
+    pairs = df.filter("route = 'ok'").select(F.col("personid").try_cast("bigint").alias("cdwaid"), "ssn").filter("ssn IS NOT NULL").distinct()
     new = anti(pairs, crosswalk, ["cdwaid"])
     return protect_column(new, "ssn", key, to="fullssn").select("fullssn", "cdwaid")
 

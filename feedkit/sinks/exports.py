@@ -35,6 +35,24 @@ def export_delimited(
     writer.option("escape", '"').option("encoding", encoding).csv(path)
 
 
+def name_parts(spark: SparkSession, path: str, name: str) -> None:
+    """Give the written files of a folder the ``name`` their receiver expects.
+
+    Several files get ``_1``, ``_2`` ... before the suffix, in the order of their rows.
+    """
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    root = make(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [status.getPath().getName() for status in fs.listStatus(root)]
+    parts = sorted(n for n in names if n.startswith("part-"))
+    stem, dot, suffix = name.rpartition(".")
+    for i, part in enumerate(parts, 1):
+        to = name if len(parts) == 1 else f"{stem}_{i}{dot}{suffix}"
+        if not fs.rename(make(root, part), make(root, to)):
+            raise OSError(f"{part} of {path} can't be named {to}")
+    spark.catalog.refreshByPath(path)
+
+
 def line_counts(spark: SparkSession, path: str) -> DataFrame:
     """Lines per file: path, n_lines. Files are split across tasks and counted before the shuffle."""
     lines = spark.read.option("recursiveFileLookup", True).text(path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
 def read_delimited(
@@ -59,23 +59,25 @@ def clean_headers(df: DataFrame) -> DataFrame:
 def skip_preamble(df: DataFrame, n: int = 7) -> DataFrame:
     """Drop the first ``n`` rows of every file of a freshly read frame.
 
-    Only the first block of a file can hold its preamble, so only those rows are numbered; a group is then never
-    larger than one file split, however large the file is.
+    Rows are numbered as they are read, so those of a file's first block are consecutive. The smallest and largest
+    number per file say which ``n`` rows to drop; only these are shuffled, and no file is gathered in one task, whether
+    it can be split or not. The read must keep malformed rows, as it does by default, because rows are numbered in a
+    second scan of few columns.
     """
+    if n <= 0:
+        return df
     tagged = df.select(
         "*",
         F.col("_metadata.file_path").alias("_path"),
         (F.col("_metadata.file_block_start") == 0).alias("_first_block"),
+    ).withColumn("_order", F.monotonically_increasing_id())
+    ends = tagged.groupBy("_path").agg(
+        F.min(F.when(F.col("_first_block"), F.col("_order"))).alias("_low"),
+        F.max(F.when(F.col("_first_block"), F.col("_order"))).alias("_high"),
     )
-    in_file = Window.partitionBy("_path").orderBy("_order")
-    head = (
-        tagged.filter("_first_block")
-        .withColumn("_order", F.monotonically_increasing_id())
-        .withColumn("_row", F.row_number().over(in_file))
-        .filter(F.col("_row") > n)
-        .drop("_order", "_row")
-    )
-    return head.unionByName(tagged.filter("NOT _first_block")).drop("_path", "_first_block")
+    numbers = F.sequence("_low", F.least(F.col("_low") + (n - 1), F.col("_high")))
+    drops = ends.filter("_low IS NOT NULL").select(F.explode(numbers).alias("_order"))
+    return tagged.join(drops, "_order", "left_anti").drop("_order", "_path", "_first_block")
 
 
 def skip_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:

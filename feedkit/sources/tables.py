@@ -22,8 +22,14 @@ def jdbc_options(
     bounds: tuple[int, int] | None = None,
     partitions: int = 16,
     fetch_size: int = 10_000,
+    single: bool = False,
 ) -> dict[str, str]:
-    """Options of a JDBC read; with ``split_on`` and ``bounds`` the table is read in parallel ranges."""
+    """Options of a JDBC read in parallel ranges of ``split_on`` between ``bounds``; the first and last range are open.
+
+    One task reads a whole table only where the caller says so with ``single=True``.
+    """
+    if (split_on is None) != single:
+        raise ValueError("give either split_on with bounds, or single=True")
     options = {"url": url, "dbtable": table, "fetchsize": str(fetch_size), **(properties or {})}
     if split_on is not None:
         if bounds is None:

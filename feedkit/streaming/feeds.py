@@ -17,20 +17,21 @@ def stream_feed(
     *,
     sep: str = ",",
     header: bool = True,
-    files_per_batch: int = 1,
+    files_per_batch: int | None = None,
 ) -> DataFrame:
-    """Stream of delimited files, oldest first, ``files_per_batch`` per micro-batch.
+    """Stream of delimited files, oldest first; ``files_per_batch`` bounds a micro-batch, by default all there are.
 
     With ``archive`` a file moves there once a later batch has been planned, so the last file moves on the next
     run. The checkpoint of the query remembers which files were loaded.
     """
     reader = (
         spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", files_per_batch)
         .option("header", header)
         .option("sep", sep)
         .option("quote", '"')
     )
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if archive is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return with_file_name(reader.csv(path))
@@ -53,13 +54,13 @@ def stream_delta(stream: DataFrame, target: str, key: str, order: list[Column |
 
     Each batch writes its own ``batch=N`` folder and is compared with the folders of earlier batches only, so a
     batch that runs again after a failure replaces its own output and gives the same rows. Known keys live in the
-    table, not in streaming state. Null keys are dropped.
+    table, not in streaming state. A row with a null key is new, as in ``flag_delta``: all of them are appended.
     """
     spark = stream.sparkSession
     held_schema = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
 
     def load(rows: DataFrame, batch_id: int) -> None:
-        first = keep_first(rows.filter(F.col(key).isNotNull()), [key], order)
+        first = keep_first(rows.filter(F.col(key).isNotNull()), [key], order).unionByName(rows.filter(F.col(key).isNull()))
         if batch_id > 0:
             held = spark.read.schema(held_schema).parquet(target).filter(F.col("batch") < batch_id)
             first = first.join(held.select(key), [key], "left_anti").select(*rows.columns)

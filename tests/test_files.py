@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import gzip
 import os
 from pathlib import Path
 
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedkit.operators.mapping import blank_to_null
-from feedkit.sinks.exports import export_delimited, file_log, line_counts
+from feedkit.sinks.exports import export_delimited, file_log, line_counts, name_parts
 from feedkit.sinks.tables import append, jdbc_write_options, truncate, truncate_load
 from feedkit.sources import files, tables
 
@@ -67,6 +68,26 @@ def test_preamble_is_cut_per_file(spark, tmp_path):
     assert [r[0] for r in rows(files.skip_preamble(df, 7))] == ["a0", "a1", "a2", "b0", "b1"]
 
 
+def test_preamble_of_packed_files(spark, tmp_path):
+    with gzip.open(tmp_path / "a.csv.gz", "wt") as out:
+        out.write(preamble(7, 3, "a"))
+    with gzip.open(tmp_path / "b.csv.gz", "wt") as out:
+        out.write(preamble(5, 0, "b"))
+    df = files.with_file_name(files.read_delimited(spark, str(tmp_path), names=["k", "v"]))
+    assert rows(files.skip_preamble(df, 7), "k", "filename") == [(f"a{i}", "a.csv.gz") for i in range(3)]
+    assert files.skip_preamble(df, 0).count() == 15
+
+
+def test_named_parts(spark, tmp_path):
+    for folder, parts in (("one", 1), ("two", 2)):
+        path = str(tmp_path / folder)
+        export_delimited(spark.range(10).repartition(parts), path)
+        name_parts(spark, path, "Ids_1.txt")
+    names = {f: sorted(p.name for p in (tmp_path / f).glob("*.txt")) for f in ("one", "two")}
+    assert names == {"one": ["Ids_1.txt"], "two": ["Ids_1_1.txt", "Ids_1_2.txt"]}
+    assert spark.read.option("header", True).csv(str(tmp_path / "two")).count() == 10
+
+
 def test_preamble_of_a_split_file(spark, tmp_path):
     """A file read in several splits loses its first rows only once."""
     write(tmp_path / "big.csv", preamble(7, 5000, "r"))
@@ -186,12 +207,14 @@ def test_catalog_tables(spark, folder):
 
 
 def test_jdbc_options():
-    plain = tables.jdbc_options("jdbc:x", "raw.t", {"user": "u"})
+    plain = tables.jdbc_options("jdbc:x", "raw.t", {"user": "u"}, single=True)
     assert plain["dbtable"] == "raw.t" and plain["user"] == "u" and "numPartitions" not in plain
     split = tables.jdbc_options("jdbc:x", "raw.t", split_on="id", bounds=(1, 100), partitions=8)
     assert (split["partitionColumn"], split["lowerBound"], split["upperBound"], split["numPartitions"]) == ("id", "1", "100", "8")
     with pytest.raises(ValueError):
         tables.jdbc_options("jdbc:x", "t", split_on="id")
+    with pytest.raises(ValueError):
+        tables.jdbc_options("jdbc:x", "t")  # one task for a whole table only on request
     assert jdbc_write_options("jdbc:x", "t", truncate=True)["truncate"] == "true"
     assert "truncate" not in jdbc_write_options("jdbc:x", "t", truncate=False)
 

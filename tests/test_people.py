@@ -135,7 +135,10 @@ def test_identity_conflicts(spark):
 
 def test_extend_crosswalk_is_idempotent(spark):
     key = "0123456789abcdef"
-    df = spark.createDataFrame([("1", "s1"), ("1", "s1"), ("2", "s2"), ("3", None)], "personid string, ssn string")
+    df = spark.createDataFrame(
+        [("1", "s1", "ok"), ("1", "s1", "ok"), ("2", "s2", "ok"), ("3", None, "ok"), ("4", "s4", "duplicate_ssn"), ("5", "s5", "bad_length")],
+        "personid string, ssn string, route string",
+    )
     known = spark.createDataFrame([(2,)], "cdwaid bigint")
     new = p.extend_crosswalk(df, known, key)
     assert rows(reveal_column(new, "fullssn", key), "cdwaid", "fullssn") == [(1, "s1")]

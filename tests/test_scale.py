@@ -122,6 +122,18 @@ def test_hot_join_key_is_split(spark, small_skew_limits):
         assert "skew=true" in qe.executedPlan().toString()
 
 
+def test_a_drop_is_shuffled_once(spark, no_broadcast):
+    """The snapshot's identities are grouped and spread; the drop itself moves once, copies are removed where it lies."""
+    cur = spark.range(100).selectExpr("CAST(id AS STRING) AS k", "id % 3 AS v")
+    plan = plan_of(delta.flag_delta(cur, cur.select("k"), key="k").select("*"))
+    assert plan.split("Initial Plan")[-1].count("Exchange hashpartitioning") == 3
+
+
+def test_requirements_are_read_once(spark, no_broadcast):
+    plan = plan_of(QUERIES["students_late_or_open"](spark, PATH))
+    assert plan.split("Initial Plan")[-1].count("max_by") > 0
+
+
 def test_wide_projections_compile(spark):
     """No stage may outgrow generated code: Spark would then interpret it, after logging a failed compile."""
     spark.conf.set("spark.sql.codegen.fallback", "false")

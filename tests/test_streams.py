@@ -21,7 +21,7 @@ def test_feed_loads_each_file_once_and_archives(spark, tmp_path):
     target, state = str(tmp_path / "out"), str(tmp_path / "state")
 
     def run():
-        query = load_stream(stream_feed(spark, str(inbox), SCHEMA, str(archive)), target, state)
+        query = load_stream(stream_feed(spark, str(inbox), SCHEMA, str(archive), files_per_batch=1), target, state)
         query.awaitTermination()
         return query
 
@@ -42,7 +42,7 @@ def test_oldest_file_comes_first(spark, tmp_path):
     drop(inbox, "z.csv", "1,old\n", 1000)
     drop(inbox, "a.csv", "1,new\n", 2000)
     target = str(tmp_path / "out")
-    stream_delta(stream_feed(spark, str(inbox), SCHEMA), target, "id", ["v"], str(tmp_path / "state")).awaitTermination()
+    stream_delta(stream_feed(spark, str(inbox), SCHEMA, files_per_batch=1), target, "id", ["v"], str(tmp_path / "state")).awaitTermination()
     assert rows(spark.read.parquet(target), "id", "v", "filename") == [("1", "old", "z.csv")]
 
 
@@ -50,14 +50,14 @@ def test_delta_adds_only_new_keys(spark, tmp_path):
     inbox, target, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
 
     def run():
-        stream_delta(stream_feed(spark, str(inbox), SCHEMA), target, "id", ["v"], state).awaitTermination()
+        stream_delta(stream_feed(spark, str(inbox), SCHEMA, files_per_batch=1), target, "id", ["v"], state).awaitTermination()
         return rows(spark.read.parquet(target), "id", "v")
 
     drop(inbox, "a.csv", "1,b\n1,a\n2,c\n,n\n", 1000)
-    assert run() == [("1", "a"), ("2", "c")]
+    assert run() == [(None, "n"), ("1", "a"), ("2", "c")]
     drop(inbox, "b.csv", "2,later\n3,d\n", 2000)
-    assert run() == [("1", "a"), ("2", "c"), ("3", "d")]
-    assert run() == [("1", "a"), ("2", "c"), ("3", "d")]
+    assert run() == [(None, "n"), ("1", "a"), ("2", "c"), ("3", "d")]
+    assert run() == [(None, "n"), ("1", "a"), ("2", "c"), ("3", "d")]
 
 
 def test_delta_batch_can_run_again(spark, tmp_path):
@@ -67,7 +67,7 @@ def test_delta_batch_can_run_again(spark, tmp_path):
     drop(inbox, "b.csv", "2,c\n3,d\n", 2000)
 
     def run(state: str):
-        stream_delta(stream_feed(spark, str(inbox), SCHEMA), target, "id", ["v"], state).awaitTermination()
+        stream_delta(stream_feed(spark, str(inbox), SCHEMA, files_per_batch=1), target, "id", ["v"], state).awaitTermination()
         return rows(spark.read.parquet(target), "id", "v")
 
     first = run(str(tmp_path / "state1"))
