@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
+from ..sources.files import read_delimited
 from ..streaming.feeds import load_stream, stream_delta, stream_feed
 from .registry import Tables, query
 
@@ -27,15 +28,25 @@ def stream_file_feed(t: Tables):
     return t.spark.read.schema(SCHEMA).parquet(target)
 
 
-@query("archive_file", TEXT)
+@query(
+    "archive_file",
+    f"SELECT 'loaded' AS part, * FROM ({TEXT}) UNION ALL SELECT 'archived', * FROM ({TEXT} WHERE o_orderkey < (SELECT max(o_orderkey) FROM orders))",
+)
 def archive_file(t: Tables):
-    # Two runs over one checkpoint: the second finds the first run's files loaded, and archives the last of them.
-    drops, archive = _drops(t, 3), scratch_dir(t.spark, "archive")
+    # The newest file holds the last order; it waits for a later batch, all older files must have moved.
+    drops, archive = scratch_dir(t.spark, "drops"), scratch_dir(t.spark, "archive")
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_orderpriority")
+    last = rows.orderBy(F.desc("o_orderkey")).limit(1)
+    older = rows.join(last.select("o_orderkey"), "o_orderkey", "left_anti").repartition(3)
+    for drop in (older, last):
+        drop.write.mode("append").option("header", True).csv(drops)
     target, state = scratch_dir(t.spark, "archived"), scratch_dir(t.spark, "archived-state")
-    for _ in range(2):
-        stream = stream_feed(t.spark, drops, SCHEMA, archive).drop("filename")
+    for _ in range(2):  # over one checkpoint: the second run finds all files loaded
+        stream = stream_feed(t.spark, drops, SCHEMA, archive, files_per_batch=1).drop("filename")
         load_stream(stream, target, state).awaitTermination()
-    return t.spark.read.schema(SCHEMA).parquet(target)
+    loaded = t.spark.read.schema(SCHEMA).parquet(target)
+    moved = read_delimited(t.spark, archive, SCHEMA, recursive=True)
+    return loaded.select(F.lit("loaded").alias("part"), "*").union(moved.select(F.lit("archived"), "*"))
 
 
 @query(
