@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 import hashlib
-
 from collections.abc import Callable
 
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir, tune
 from . import chat, decontaminate, jaccard, language, packing, pages, quality, sharding, substrings, token_store
+from .oracle import CONTROL_TEXT, ORACLE  # noqa: F401  the registry reads ORACLE
 from .scratch import keep
 from .words import column
 
@@ -118,8 +117,7 @@ def _read_chat(batches):
 
 def op9_chat(spark: SparkSession, path: str) -> DataFrame:
     turns = _table(spark, path, "conversations").select("conv_id", "turn", "role", "text")
-    control = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], turns.schema)
+    extra = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)], turns.schema)
     formatted = keep(chat.format_chat(turns.unionAll(extra)), "chat")
     ordered = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "part", "segment")
     return ordered.mapInArrow(_read_chat, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
@@ -132,5 +130,4 @@ def op10_jaccard_components(spark: SparkSession, path: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_token_store, op2_page_text, op3_substring_dedup, op4_decontaminate, op5_histogram_shards, op6_pack, op7_language, op8_quality, op9_chat, op10_jaccard_components)
-}
-ORACLE: dict[str, str] = {}
+}
\ No newline at end of file
