@@ -296,6 +296,12 @@ def test_jaccard(documents, nothing, corpus):
     assert jaccard.linked(nothing).count() == 0
 
 
+def test_jaccard_splits_hot_blocks(documents, monkeypatch):
+    whole = _tuples(jaccard.linked(documents), "doc_id", "n_shingles", "component_id")
+    monkeypatch.setattr(jaccard, "HOT_BYTES", 0)
+    assert _tuples(jaccard.linked(documents), "doc_id", "n_shingles", "component_id") == whole
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(30)] + [(100, 90), (100, 95), (95, 90), (7, 7), (200, 201), (202, 201), (None, 3)]
     got = dict(_tuples(components(spark.createDataFrame(links, "u long, v long")), "node", "root"))
