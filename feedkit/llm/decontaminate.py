@@ -18,7 +18,7 @@ from .scratch import keep
 #: Characters that are not part of a word, after A-Z are lower-cased.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SPAN = 13
-BROADCAST_WINDOWS = 50_000
+BROADCAST_BYTES = 16 << 20  # of windows with their texts
 PLACE_BITS = 27  # low bits of a fingerprint hold the position, counted down
 _LAST = (1 << PLACE_BITS) - 1
 
@@ -87,7 +87,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> Da
         printed = _exploded(fingerprints(own.withColumn("words", F.split("text", " ")), n), "text", "set")
         entry = F.struct(F.lit(n).alias("span"), F.col("place"), "text", "set")
         index = keep(printed.groupBy("hash").agg(F.collect_list(entry).alias("windows")), "index")
-        if index.count() <= BROADCAST_WINDOWS:
+        weight = F.aggregate("windows", F.lit(0).cast("long"), lambda a, w: a + 128 + F.octet_length(w["text"]))
+        if index.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0] <= BROADCAST_BYTES:
             index = F.broadcast(index)
         found = _exploded(fingerprints(docs.select("doc_id", words(F.col("text")).alias("words")), n), "doc_id").join(index, "hash")
         starts = F.transform("windows", lambda w: F.struct((F.col("place") - w["place"]).alias("start"), w["span"].alias("span"), w["text"].alias("text"), w["set"].alias("set")))
