@@ -84,10 +84,10 @@ def _segments(tokenizer: str, end_id: int | None, segment_tokens: int):
             docs, lengths, ids, held = [], [], [], 0
             return pa.RecordBatch.from_pylist([row], schema=_ARROW)
 
-        with encoder(tokenizer) as enc:
+        with encoder(tokenizer, reuse=True) as enc:
             for batch in batches:
                 texts, keys = column(batch, "text"), column(batch, "doc_id").to_pylist()
-                for a, b in text_slices(texts, 1 << 20):
+                for a, b in text_slices(texts, 1 << 21):
                     flat, counts = enc.encode(texts.slice(a, b - a))
                     if end_id is not None:
                         flat, counts = np.insert(flat, np.cumsum(counts), end_id), counts + 1

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,7 @@ import pyarrow.compute as pc
 
 from .words import BASES, ranges, release
 
-CACHE = 600_000  # pieces kept per process, about 50 bytes each
+CACHE = 600_000  # pieces that an encoder keeps, about 50 bytes each
 
 
 class Encoder:
@@ -20,13 +21,14 @@ class Encoder:
 
     A text is cut before every space that follows a visible character. Byte-level vocabularies never join a visible
     character with a space after it, so the ids of a text are those of its pieces, one after another. Pieces are looked
-    up by a 128-bit hash among those already encoded, ``CACHE`` at most; the rest are encoded again when they come back.
+    up by a 128-bit hash among those already encoded, ``cache`` at most; the rest are encoded again when they come back.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache: int = CACHE):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         from tokenizers import Tokenizer
 
+        self.cache = cache
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
         names = self.tokenizer.get_vocab(with_added_tokens=True)
@@ -67,10 +69,10 @@ class Encoder:
         if known.all():
             return begin, sizes, self.arena
         new = np.flatnonzero(~known)
-        ids, place, sizes[new] = self._fresh(pieces.take(pa.array(new)).to_pylist())
+        ids, place, sizes[new] = self._fresh(pieces.take(pa.array(new)))
         begin[new] = len(self.arena) + place
         arena = np.concatenate((self.arena, ids))
-        if len(self.keys) + len(new) <= CACHE:
+        if len(self.keys) + len(new) <= self.cache:
             order = new[np.argsort(key[new])]
             place = np.searchsorted(self.keys, key[order])
             self.begin, self.sizes = np.insert(self.begin, place, begin[order]), np.insert(self.sizes, place, sizes[order])
@@ -78,18 +80,19 @@ class Encoder:
             self.arena = arena
         return begin, sizes, arena
 
-    def _fresh(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _fresh(self, pieces: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Encode pieces, fifty at a time end to end where their joints are safe; ids are told apart by their bytes."""
+        width = pc.binary_length(pieces).to_numpy(zero_copy_only=False)
+        pieces = pieces.to_pylist()
         safe = np.fromiter((p[0] == " " and "!" <= p[-1] <= "~" for p in pieces), bool, len(pieces))
         joined, alone = np.flatnonzero(safe), np.flatnonzero(~safe)
         ids, sizes = [], [np.zeros(0, np.int64)]
-        groups = [[pieces[i] for i in joined[lo : lo + 50]] for lo in range(0, len(joined), 50)]
-        for lo in range(0, len(groups), 100):
-            part = groups[lo : lo + 100]
-            for group, got in zip(part, self._encode(["".join(g) for g in part])):
-                ends = np.cumsum([len(p.encode()) for p in group])
-                ids.append(got)
-                sizes.append(np.diff(np.searchsorted(np.cumsum(self.width[got]), ends, "left") + 1, prepend=0))
+        for lo in range(0, len(joined), 5000):
+            part = joined[lo : lo + 5000]
+            got = self._encode(["".join([pieces[i] for i in part[at : at + 50]]) for at in range(0, len(part), 50)])
+            ids += got
+            upto = np.cumsum(self.width[np.concatenate(got)])
+            sizes.append(np.diff(np.searchsorted(upto, np.cumsum(width[part]), "left") + 1, prepend=0))
         for lo in range(0, len(alone), 1000):
             got = self._encode([pieces[i] for i in alone[lo : lo + 1000]])
             ids += got
@@ -128,7 +131,15 @@ class Encoder:
 
 
 @contextmanager
-def encoder(path: str) -> Iterator[Encoder]:
-    """An encoder for one task; its pieces go with it, as Python workers live on and may next run something else."""
-    yield Encoder(path)
+def encoder(path: str, reuse: bool = False) -> Iterator[Encoder]:
+    """An encoder for one task; its pieces go with it, as Python workers live on and may next run something else.
+
+    With ``reuse`` the worker keeps it for its next task, with twice as many pieces, as later tasks meet them again.
+    """
+    yield _kept(path) if reuse else Encoder(path)
     release()
+
+
+@lru_cache(maxsize=1)
+def _kept(path: str) -> Encoder:
+    return Encoder(path, 2 * CACHE)
