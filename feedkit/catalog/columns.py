@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F, types as T
 
-from ..operators import mapping as m
+from ..operators import mapping as m, relate
 from ..operators.routing import length_errors, route
 from .inputs import ORDER_DAY
 from .registry import Tables, query
@@ -177,9 +177,9 @@ def filter_predicates(t: Tables):
     "AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)",
 )
 def filter_in_list(t: Tables):
-    urgent = t.orders.filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
+    urgent = relate.filter_in(t.orders, "o_orderpriority", ["1-URGENT", "2-HIGH"])
     debtors = t.customer.filter("c_acctbal < 0").select(F.col("c_custkey").alias("o_custkey"))
-    return urgent.join(debtors, "o_custkey", "left_anti").select("o_orderkey", "o_orderpriority")
+    return relate.anti(urgent, debtors, ["o_custkey"]).select("o_orderkey", "o_orderpriority")
 
 
 @query("drop_columns", "SELECT o_orderkey, o_custkey, o_orderdate FROM orders")

@@ -67,6 +67,13 @@ def anti(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
     return df.join(other.select(*on), list(on), "left_anti")
 
 
+def filter_in(df: DataFrame, col: str, values: Sequence | DataFrame) -> DataFrame:
+    """Rows whose ``col`` is one of ``values``: a short list, or the first column of a frame. Nulls are never in it."""
+    if isinstance(values, DataFrame):
+        return semi(df, values.select(F.col(values.columns[0]).alias(col)), [col])
+    return df.filter(F.col(col).isin(*values)) if values else df.filter(F.lit(False))
+
+
 def with_partner_flag(df: DataFrame, other: DataFrame, key: str, other_key: str, to: str) -> DataFrame:
     """Boolean column: does ``other`` hold this key? Usable inside a larger condition."""
     keys = other.select(F.col(other_key).alias("_okey")).filter("_okey IS NOT NULL").distinct()

@@ -257,3 +257,11 @@ def test_new_rows_are_idempotent(spark):
     hashed = delta.new_by_hash(cur, target, ["k", "v"])
     assert hashed.count() == 4
     assert delta.new_by_hash(cur, target.union(hashed), ["k", "v"]).count() == 0
+
+
+def test_filter_in(spark):
+    df = spark.createDataFrame([(1,), (2,), (2,), (None,)], "k long")
+    values = spark.createDataFrame([(2, "a"), (2, "b"), (None, "c")], "other long, k string")
+    assert [r["k"] for r in relate.filter_in(df, "k", values).collect()] == [2, 2]
+    assert [r["k"] for r in relate.filter_in(df, "k", [2, 7]).collect()] == [2, 2]
+    assert relate.filter_in(df, "k", []).count() == 0
