@@ -23,7 +23,7 @@ CELLS_PER_WINDOW = 4
 _SALT = (0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
 LOWEST = -(1 << 63)
 
-COPY, CELLS, FIRST = 0, 1, 2  # kinds of replies
+COPY, CELLS, FIRST, ORDER = 0, 1, 2, 3  # kinds of replies
 MESSAGE = "block long, chunk long, cells binary, twice binary"
 
 
@@ -36,13 +36,16 @@ class Windows:
 
     ``key``: ascending first halves of the hashes; ``check``: second halves; ``least``: smallest doc_id with the window;
     ``several``: whether two documents of the chunk have it. ``of``, ``doc`` and ``at``: distinct window, document and
-    first word (counted in the document) of every window.
+    first word (counted in the document) of every window. Row numbers of ``replies`` stand in for doc_ids.
     """
 
-    def __init__(self, table: pa.Table, size: int, copies: np.ndarray):
+    def __init__(self, table: pa.Table, size: int, replies: list[dict]):
         texts, ids = column(table, "text"), _ids(table)
+        for r in replies:
+            if r["kind"] == ORDER:
+                ids = np.frombuffer(r["data"], "<i8")
         use = np.ones(len(texts), bool)
-        use[copies] = False
+        use[_copies(replies)] = False
         self.n_words = np.zeros(len(texts), np.int64)
         key, check, doc, at = [], [], [], []
         for a, b in text_slices(texts):
@@ -82,8 +85,12 @@ def _copies(replies: list[dict]) -> np.ndarray:
     return np.concatenate(got) if got else np.zeros(0, np.int32)
 
 
-def find_copies(chunks: DataFrame) -> DataFrame:
-    """Replies with the documents whose whole text also is that of a document of smaller doc_id."""
+def find_copies(chunks: DataFrame, by_row: bool = False) -> DataFrame:
+    """Replies with the documents whose whole text also is that of a document of smaller doc_id.
+
+    ``by_row``: every row has a number of its own, ascending with doc_id, then the text's hash, which stands in for its
+    doc_id; replies of kind ``ORDER`` hold the numbers of each chunk's rows.
+    """
 
     def digest(chunk: int, table: pa.Table) -> pa.Table:
         texts, out = column(table, "text"), []
@@ -98,10 +105,22 @@ def find_copies(chunks: DataFrame) -> DataFrame:
         )
 
     texts = keep(each_chunk(chunks, digest, "chunk long, i int, doc_id long, a long, b long"), "text-digests")
+    if by_row:
+        order = ["doc_id", "a", "b", "chunk", "i"]
+        ordered = texts.repartitionByRange(*order).sortWithinPartitions(*order)
+        texts = keep(ordered.withColumn("doc_id", F.monotonically_increasing_id()), "row-order")
     first = texts.groupBy("a", "b").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").drop("last")
     later = texts.join(first, ["a", "b"]).filter("doc_id > first")
+    replies = place_replies(later, COPY)
+
+    def numbers(key: tuple, table: pa.Table) -> pa.Table:
+        order = np.argsort(column(table, "i").to_numpy())
+        data = column(table, "doc_id").to_numpy()[order].astype("<i8").tobytes()
+        return reply_table([key[0].as_py()], ORDER, [0], [data], [None])
 
-    return keep(place_replies(later, COPY), "copies")
+    if by_row:
+        replies = replies.unionAll(texts.select("chunk", "i", "doc_id").groupBy("chunk").applyInArrow(numbers, REPLY))
+    return keep(replies, "copies")
 
 
 def sketch(chunks: DataFrame, copies: DataFrame, size: int, bits: int) -> DataFrame:
@@ -109,7 +128,7 @@ def sketch(chunks: DataFrame, copies: DataFrame, size: int, bits: int) -> DataFr
     low = (1 << min(BLOCK_BITS, bits)) - 1
 
     def send(chunk: int, table: pa.Table, replies: list[dict]) -> pa.Table:
-        w = Windows(table, size, _copies(replies))
+        w = Windows(table, size, replies)
         rows = []
         for row in range(ROWS):
             cells, back = np.unique(w.cells(row, bits), return_inverse=True)
@@ -151,7 +170,7 @@ def exact(chunks: DataFrame, copies: DataFrame, cells: DataFrame, size: int, bit
     high = max(0, bits - 22)
 
     def send(chunk: int, table: pa.Table, replies: list[dict]) -> pa.Table:
-        w = Windows(table, size, _copies(replies))
+        w = Windows(table, size, replies)
         at = np.flatnonzero(_repeated(w, replies, bits))
         key, check, least = w.key[at], w.check[at], w.least[at]
         rows = [
@@ -189,7 +208,7 @@ def cut(chunks: DataFrame, replies: DataFrame, size: int, schema, as_is: bool) -
 
     def run(chunk: int, table: pa.Table, replies: list[dict]) -> pa.Table:
         copies = _copies(replies)
-        w = Windows(table, size, copies)
+        w = Windows(table, size, replies)
         lowest = w.least.copy()
         for r in replies:
             if r["kind"] == FIRST:
@@ -237,12 +256,13 @@ def _joined(texts: pa.Array, kept: np.ndarray) -> pa.Array:
     return pa.array([raw[a:b].decode() for a, b in zip(begins_at.tolist(), last.tolist())], pa.string())
 
 
-def remove_repeats(docs: DataFrame, size: int = 50, as_is: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, size: int = 50, as_is: bool = False, by_row: bool = False) -> DataFrame:
     """``docs`` (doc_id, text, any others) with repeated words out of ``text``, and ``n_words`` and ``n_removed``.
 
     A word goes if it is covered by ``size`` consecutive words that also start in a document of smaller doc_id, judged
     on the input. Kept words are joined by one space; with ``as_is`` a document that loses none keeps its text. A null text is empty; a null doc_id is smaller than all others;
-    rows of one doc_id do not count against each other. A document whose whole text is that of one before it loses all
+    rows of one doc_id do not count against each other, unless ``by_row``, which puts them, those without an id too, in
+    the order of their texts' hashes. A document whose whole text is that of one before it loses all
     words if it has a window, and takes no part in the sketch. Columns named n_words and n_removed are replaced.
     """
     from pyspark.sql.types import LongType, StructField, StructType
@@ -258,7 +278,7 @@ def remove_repeats(docs: DataFrame, size: int = 50, as_is: bool = False) -> Data
 
     total = each_chunk(chunks, count, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     bits = max(10, int(np.ceil(np.log2(max(1, CELLS_PER_WINDOW * total)))))
-    copies = find_copies(chunks)
+    copies = find_copies(chunks, by_row)
     cells = sketch(chunks, copies, size, bits)
     first = keep(exact(chunks, copies, cells, size, bits), "first")
     return cut(chunks, copies.unionAll(first), size, schema, as_is)
