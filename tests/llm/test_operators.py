@@ -262,6 +262,17 @@ def test_pages(spark):
     assert (got[6], got[7], got[8], got[None]) == ("no url", "", "broken", "")
 
 
+def test_pages_of_a_long_host(spark):
+    """Every page shares a line with the next page and with no other."""
+    for n in (64, 65, 130):
+        body = lambda k: f"<p>with {k - 1}</p><p>this is the own text of page {k}</p><p>with {k}</p>"
+        rows = [(k, f"http://h/{k:03}", body(k)) for k in range(n)]
+        got = dict(_tuples(pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)), "page_id", "text"))
+        want = {k: f"this is the own text of page {k}" for k in range(n)}
+        want[0], want[n - 1] = f"with -1 {want[0]}", f"{want[n - 1]} with {n - 1}"
+        assert got == want
+
+
 def test_common_subsequence():
     rng = np.random.default_rng(1)
     for _ in range(300):
