@@ -225,11 +225,12 @@ def train(stats: DataFrame, labels: DataFrame, most: int = 20_000) -> Trees | No
     """Fit on at most ``most`` labelled documents, those of the smallest hash of doc_id; None without both labels.
 
     ``labels`` has doc_id and quality (1: good). Null ids and labels are left out; a document labelled twice takes the
-    smaller label.
+    smaller label. Rows of one id count as one document, the one of smallest counts.
     """
     known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    rows = stats.join(F.broadcast(sample), "doc_id").select("quality", "doc_id", *COUNTS).toPandas()  # ``most`` rows; ids are unique
+    each = stats.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "quality").agg(F.min(F.struct(*COUNTS)).alias("counts"))
+    rows = each.select("quality", "doc_id", "counts.*").toPandas()  # ``most`` rows at most
     rows = rows.sort_values("doc_id")
     y = (rows["quality"].to_numpy() > 0).astype(float)
     if not len(y) or y.min() == y.max():

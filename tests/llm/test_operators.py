@@ -215,6 +215,15 @@ def test_quality_without_labels(spark, documents):
     assert all(r["kept"] == (not r["base_failed"]) and r["score"] is None for r in rows)
 
 
+def test_quality_takes_a_labelled_id_once(spark, monkeypatch):
+    stats = spark.range(3000).selectExpr("IF(id % 3 = 0, 7, id) AS doc_id", *[f"id + 1 AS {c}" for c in quality.COUNTS])  # a third on one id
+    labels = spark.range(3000).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS quality")
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda x, y, directions: seen.append(len(y)))
+    quality.train(stats, labels)
+    assert seen == [2000]
+
+
 def test_chat(spark):
     rows = [(1, 0, "user", "</s>[INST] ok [/INST]"), (1, 1, "assistant", "a<|im_end|>\n\\<s>b\\"), (1, 1, "assistant", "a<|im_end|>\n\\<s>b\\")]
     rows += [(2, None, None, None), (2, 3, "to\nol\\n", "é漢"), (None, 0, "user", ""), (-1, 0, "assistant", "")] + [(9, k, "user", str(k)) for k in range(40)]
