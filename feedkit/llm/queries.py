@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir, tune
-from . import chat, decontaminate, jaccard, language, packing, pages, quality, sharding, substrings, token_store
+from . import automaton, chat, decontaminate, jaccard, language, packing, pages, quality, sharding, substrings, token_store
 from .oracle import CONTROL_TEXT, ORACLE  # noqa: F401  the registry reads ORACLE
 from .scratch import keep
 from .words import column
@@ -127,7 +127,27 @@ def op10_jaccard_components(spark: SparkSession, path: str) -> DataFrame:
     return jaccard.linked(_table(spark, path, "documents"), size=5, percent=80)
 
 
+def op12_bpe_automaton(spark: SparkSession, path: str) -> DataFrame:
+    coded = automaton.encode(_table(spark, path, "documents").select("doc_id", "text"), vocabulary()).select("doc_id", "ids")
+    back = automaton.decode(coded, vocabulary())
+    return back.select(
+        "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_token_store, op2_page_text, op3_substring_dedup, op4_decontaminate, op5_histogram_shards, op6_pack, op7_language, op8_quality, op9_chat, op10_jaccard_components)
+    for f in (
+        op1_token_store,
+        op2_page_text,
+        op3_substring_dedup,
+        op4_decontaminate,
+        op5_histogram_shards,
+        op6_pack,
+        op7_language,
+        op8_quality,
+        op9_chat,
+        op10_jaccard_components,
+        op12_bpe_automaton,
+    )
 }
\ No newline at end of file
