@@ -81,9 +81,25 @@ FROM t GROUP BY conv_id"""
 #: What both turns of the added conversation say.
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
+def hard_negatives(positives: int, negatives: int) -> str:
+    """Every anchor against every row; ids are taken as unique."""
+    return f"""
+WITH vec AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM vec a, vec b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+pos AS (SELECT anchor_id, own, vec_id AS positive_id, score AS positive_score FROM scored WHERE label = own
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= {positives}),
+neg AS (SELECT p.anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+  row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+  FROM pos p JOIN scored s ON p.anchor_id = s.anchor_id AND s.label <> p.own AND 80 * positive_score <= 100 * score AND score <= positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= {negatives}"""
+
+
 ORACLE: dict[str, str] = {
     "op3_substring_dedup": substring_dedup(50),
     "op4_decontaminate": decontaminate(13),
     "op9_chat": chat_digests(CONTROL_TEXT),
     "op10_jaccard_components": jaccard_components(5, 80),
+    "op11_hard_negatives": hard_negatives(5, 5),
 }

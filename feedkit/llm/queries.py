@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir, tune
-from . import automaton, chat, decontaminate, jaccard, language, packing, pages, quality, sharding, substrings, token_store
+from . import automaton, chat, decontaminate, jaccard, language, negatives, packing, pages, quality, sharding, substrings, token_store
 from .oracle import CONTROL_TEXT, ORACLE  # noqa: F401  the registry reads ORACLE
 from .scratch import keep
 from .words import column
@@ -127,6 +127,12 @@ def op10_jaccard_components(spark: SparkSession, path: str) -> DataFrame:
     return jaccard.linked(_table(spark, path, "documents"), size=5, percent=80)
 
 
+def op11_hard_negatives(spark: SparkSession, path: str) -> DataFrame:
+    rows = _table(spark, path, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", moved), "vec_id % 100 = 0")
+
+
 def op12_bpe_automaton(spark: SparkSession, path: str) -> DataFrame:
     coded = automaton.encode(_table(spark, path, "documents").select("doc_id", "text"), vocabulary()).select("doc_id", "ids")
     back = automaton.decode(coded, vocabulary())
@@ -148,6 +154,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality,
         op9_chat,
         op10_jaccard_components,
+        op11_hard_negatives,
         op12_bpe_automaton,
     )
 }
\ No newline at end of file
