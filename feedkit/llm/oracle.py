@@ -78,6 +78,27 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns, sha256(string_ag
 FROM t GROUP BY conv_id"""
 
 
+def phrases(least: int, limit: int) -> str:
+    """Phrases as text; every cut and every phrase within a longer one is looked up."""
+    cut = "array_to_string({}, ' ')"
+    return rf"""
+WITH piece AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(coalesce({_LOWER}, ''), '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+said AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM piece),
+total AS (SELECT lang, sum(len(w)) AS n FROM said GROUP BY lang),
+sizes AS (SELECT unnest(range(1, 6)) AS k),
+gram AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: {cut.format('w[i:i + k - 1]')})) AS phrase FROM said, sizes WHERE len(w) >= k),
+often AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, count(*) AS a FROM gram GROUP BY lang, k, phrase HAVING count(*) >= {least}),
+part AS (SELECT lang, k, phrase, a, unnest(range(1, k)) AS i, w FROM often),
+cuts AS (SELECT p.lang, p.phrase, p.a, i, l.a AS l, r.a AS r, n, (CAST(1000 AS HUGEINT) * p.a * n) // (CAST(l.a AS HUGEINT) * r.a) AS score
+  FROM part p JOIN total USING (lang) JOIN often l ON l.lang = p.lang AND l.phrase = {cut.format('p.w[1:i]')} JOIN often r ON r.lang = p.lang AND r.phrase = {cut.format('p.w[i + 1:p.k]')}),
+least AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1),
+within AS (SELECT lang, k, a, w, unnest(range(1, k + 1)) AS i FROM often),
+inside AS (SELECT lang, a, i, k, unnest(list_transform(range(i, k + 1), lambda j: {cut.format('w[i:j]')})) AS phrase FROM within),
+gone AS (SELECT DISTINCT s.lang, s.phrase FROM inside s JOIN often o ON s.lang = o.lang AND s.phrase = o.phrase AND s.k > o.k AND 100 * s.a >= 100 * o.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM least ANTI JOIN gone USING (lang, phrase))
+SELECT lang, CAST(rank AS INTEGER) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= {limit}"""
+
+
 #: What both turns of the added conversation say.
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
@@ -102,4 +123,5 @@ ORACLE: dict[str, str] = {
     "op9_chat": chat_digests(CONTROL_TEXT),
     "op10_jaccard_components": jaccard_components(5, 80),
     "op11_hard_negatives": hard_negatives(5, 5),
+    "op13_phrases": phrases(100, 2000),
 }

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir, tune
-from . import automaton, chat, decontaminate, jaccard, language, negatives, packing, pages, quality, sharding, substrings, token_store
+from . import automaton, chat, decontaminate, jaccard, language, negatives, packing, pages, phrases, quality, sharding, substrings, token_store
 from .oracle import CONTROL_TEXT, ORACLE  # noqa: F401  the registry reads ORACLE
 from .scratch import keep
 from .words import column
@@ -141,6 +141,10 @@ def op12_bpe_automaton(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def op13_phrases(spark: SparkSession, path: str) -> DataFrame:
+    return phrases.collocations(_table(spark, path, "documents"), least=100, limit=2000)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -156,5 +160,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_jaccard_components,
         op11_hard_negatives,
         op12_bpe_automaton,
+        op13_phrases,
     )
 }
\ No newline at end of file
