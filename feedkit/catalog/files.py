@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions import dates, text
 from ..session import scratch_dir
+from ..snapshots import publish
 from ..sinks.exports import export_delimited, file_log, line_counts, name_parts, with_export_name
 from ..sinks.tables import append, truncate, truncate_load
 from ..sources.files import (
@@ -274,7 +275,7 @@ def line_count(t: Tables):
 @query("sink_truncate_load", "SELECT c_custkey, upper(c_name) AS c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def sink_truncate_load(t: Tables):
     target = scratch_dir(t.spark, "truncate-load")
-    truncate_load(t.customer, target)
+    publish(t.customer, target)
     truncate_load(t.customer.withColumn("c_name", F.upper("c_name")), target)
     return read_table(t.spark, target)
 

@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import dates, hashing
 from ..operators import delta, mapping as m
 from ..operators.ranking import keep_first
-from ..plans import completions as c, extracts as x, people as p, reports as r, transfers as tr
+from ..plans import completions as c, extracts as x, feeds, people as p, reports as r, transfers as tr
 from ..session import scratch_dir
+from ..snapshots import read_snapshot
 from ..sinks.exports import export_delimited, name_parts, with_export_name
 from ..sinks.tables import append
 from ..sources.files import read_delimited, skip_preamble, with_file_name
@@ -64,6 +65,26 @@ def delta_by_hash(t: Tables):
     return delta.flag_delta(_cur(t).select(*HASHED), _prev(t).select(*HASHED), cols=HASHED)
 
 
+# What a drop leaves of the rows: blanks around a value are lost on the way, an empty value is null.
+_DROPPED_SQL = "nullif(trim(responseid), '') AS responseid, CAST(custkey AS VARCHAR) AS custkey, priority, status"
+
+
+@query(
+    "snapshot_refresh",
+    f"SELECT DISTINCT 1 AS version, {_DROPPED_SQL}, true AS isdelta FROM {PREV_SQL} UNION ALL "
+    f"SELECT DISTINCT 2, {_DROPPED_SQL}, NOT coalesce(trim(responseid) IN (SELECT trim(responseid) FROM {PREV_SQL} WHERE responseid IS NOT NULL), false) FROM {CUR_SQL}",
+)
+def snapshot_refresh(t: Tables):
+    """Two days of the loop: load the drop, flag it against the snapshot, replace the snapshot by what was flagged."""
+    root = scratch_dir(t.spark, "refresh")
+    for drop in (_prev(t), _cur(t)):
+        path = scratch_dir(t.spark, "refresh-drop")
+        export_delimited(drop, path, quote_all=True)
+        feeds.refresh_snapshot(m.blank_to_null(read_delimited(t.spark, path)), root, key="responseid")
+    days = [read_snapshot(t.spark, root, v).withColumn("version", F.lit(v)) for v in (1, 2)]
+    return days[0].unionByName(days[1])
+
+
 EXAM_COLS = ["studentid", "examdate", "status"]
 EXAM = [
     "CASE WHEN o_orderkey % 13 = 0 THEN '' ELSE CAST(o_custkey AS STRING) END AS studentid",

@@ -15,6 +15,7 @@ from ..functions.dates import parse_date
 from ..functions.text import field, last4
 from ..operators.delta import flag_delta
 from ..operators.mapping import apply_mapping, blank_to_null, trim_all
+from ..snapshots import latest, publish, read_snapshot
 from ..sources.files import clean_headers
 from .completions import clean_lms_completions, clean_sheet_completions
 from .people import clean_provider_rows, identity_conflicts, match_terminated
@@ -278,3 +279,15 @@ def completions_of(raw: DataFrame) -> DataFrame:
         "status",
         field("phone_number"),
     )
+
+
+def refresh_snapshot(loaded: DataFrame, root: str, key: str | None = None, cols: Sequence[str] | None = None) -> int:
+    """Flag a loaded drop against the versioned snapshot at ``root``, make it the next version and return its number.
+
+    Rows are told apart as in ``flag_delta``, by ``key`` or by the hash of ``cols``. Without a snapshot all rows are new.
+    A run that dies leaves the snapshot as it was, and can be repeated; one that meets another's replace gets an error.
+    """
+    spark = loaded.sparkSession
+    held = latest(spark, root)
+    prev = read_snapshot(spark, root, held.version) if held else loaded.limit(0)
+    return publish(flag_delta(loaded, prev, key=key, cols=cols), root, base=held.version if held else 0)

@@ -7,13 +7,16 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..snapshots import latest, publish, read_snapshot
+
 
 def _is_path(target: str) -> bool:
     return "/" in target
 
 
 def _swap(spark: SparkSession, staged: str, target: str) -> None:
-    """Put a finished folder in the place of another. The old rows go last, so one full copy exists at any moment."""
+    """Put a finished folder in the place of another. The old rows go last, so one full copy exists at any moment, for a
+    moment under another name."""
     path = spark._jvm.org.apache.hadoop.fs.Path
     new, now, old = path(staged), path(target), path(f"{staged}-old")
     fs = now.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -33,11 +36,15 @@ def truncate_load(df: DataFrame, target: str) -> None:
     """Replace all rows of a table (catalog name or parquet folder), keeping the table definition.
 
     The new rows are written in full beside the target before anything of it is touched: ``df`` may read the target,
-    and a job that dies leaves the old rows. Of a catalog table the new rows stay in ``<name>__new_<id>`` if the last
-    step, the copy into the table, fails.
+    and a job that dies leaves the old rows. A versioned snapshot (``feedkit.snapshots``) gets its next version, so that
+    readers see one whole version at any moment. A plain folder is exchanged by two renames, between which a reader
+    finds none; begin it with ``publish`` where that matters. Of a catalog table the new rows stay in
+    ``<name>__new_<id>`` if the last step, the copy into the table, fails.
     """
     spark, mark = df.sparkSession, uuid.uuid4().hex
-    if _is_path(target):
+    if _is_path(target) and latest(spark, target):
+        publish(df, target)
+    elif _is_path(target):
         staged = f"{target.rstrip('/')}__new_{mark}"
         df.write.parquet(staged)
         _swap(spark, staged, target.rstrip("/"))
@@ -52,8 +59,10 @@ def truncate_load(df: DataFrame, target: str) -> None:
 
 
 def append(df: DataFrame, target: str) -> None:
-    """Add rows to a table, matching columns by name."""
+    """Add rows to a table, matching columns by name. A versioned snapshot takes whole replacements only."""
     if _is_path(target):
+        if latest(df.sparkSession, target):
+            raise ValueError(f"{target} is a versioned snapshot; publish it with the rows added")
         df.write.mode("append").parquet(target)
     else:
         df.write.mode("append").saveAsTable(target)
@@ -62,7 +71,9 @@ def append(df: DataFrame, target: str) -> None:
 def truncate(spark: SparkSession, targets: Iterable[str]) -> None:
     """Empty every listed table and keep its columns."""
     for target in targets:
-        if _is_path(target):
+        if _is_path(target) and latest(spark, target):
+            publish(spark.createDataFrame([], read_snapshot(spark, target).schema), target)
+        elif _is_path(target):
             spark.createDataFrame([], spark.read.parquet(target).schema).write.mode("overwrite").parquet(target)
         elif spark.catalog.getTable(target).tableType == "EXTERNAL":
             # Spark refuses TRUNCATE where it does not own the files.

@@ -6,10 +6,18 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..snapshots import latest, read_snapshot
+
 
 def read_table(spark: SparkSession, name: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Read a catalog table, or a parquet path when ``name`` has a slash; ``columns`` are SQL expressions."""
-    df = spark.read.parquet(name) if "/" in name else spark.table(name)
+    """Read a catalog table, or a parquet path when ``name`` has a slash; ``columns`` are SQL expressions.
+
+    Of a versioned snapshot the newest version is read.
+    """
+    if "/" not in name:
+        df = spark.table(name)
+    else:
+        df = read_snapshot(spark, name) if latest(spark, name) else spark.read.parquet(name)
     return df.selectExpr(*columns) if columns else df
 
 
