@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.ranking import keep_first
 from ..sources.files import with_file_name
+from .keys import BUCKETS, KeyIndex
 
 
 def stream_feed(
@@ -49,22 +50,38 @@ def load_stream(stream: DataFrame, target: str, checkpoint: str) -> StreamingQue
     )
 
 
-def stream_delta(stream: DataFrame, target: str, key: str, order: list[Column | str], checkpoint: str) -> StreamingQuery:
+def delta_batch(rows: DataFrame, batch_id: int, target: str, key: str, order: list[Column | str], index: KeyIndex) -> None:
+    """Write the rows of one batch whose key no earlier batch brought into ``target``, and enter their keys in the index."""
+    spark, out = rows.sparkSession, f"{target}/batch={batch_id}"
+    if not index.covers(batch_id):  # the target is older than its index
+        held = spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("batch", T.LongType())])).parquet(target)
+        earlier = held.filter((F.col("batch") < batch_id) & F.col(key).isNotNull()).select(key).distinct()
+        index.rebuild(earlier, batch_id - 1)
+    first = keep_first(rows.filter(F.col(key).isNotNull()), [key], order)
+    new = first.join(index.known(first, batch_id), [key], "left_anti").select(*rows.columns)
+    new.unionByName(rows.filter(F.col(key).isNull())).write.mode("overwrite").parquet(out)
+    index.add(spark.read.schema(rows.schema).parquet(out).filter(F.col(key).isNotNull()), batch_id)
+
+
+def stream_delta(
+    stream: DataFrame, target: str, key: str, order: list[Column | str], checkpoint: str, index: str | None = None, buckets: int = BUCKETS
+) -> StreamingQuery:
     """Append only rows whose key no earlier batch brought; the first row per key within a batch wins.
 
-    Each batch writes its own ``batch=N`` folder and is compared with the folders of earlier batches only, so a
-    batch that runs again after a failure replaces its own output and gives the same rows. Known keys live in the
-    table, not in streaming state. A row with a null key is new, as in ``flag_delta``: all of them are appended.
+    Each batch writes its own ``batch=N`` folder and is compared with earlier batches only, so a batch that runs again
+    after a failure replaces its own output and gives the same rows. Earlier keys lie in an index beside the target
+    (``index``, by default ``<target>__keys``) of which a batch reads the buckets that may hold one of its keys; a target
+    without an index gets one. A row with a null key is new, as in ``flag_delta``: all of them are appended.
     """
-    spark = stream.sparkSession
-    held_schema = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
+    target = target.rstrip("/")
+    keys = KeyIndex(stream.sparkSession, index or f"{target}__keys", key, buckets)
 
     def load(rows: DataFrame, batch_id: int) -> None:
-        first = keep_first(rows.filter(F.col(key).isNotNull()), [key], order).unionByName(rows.filter(F.col(key).isNull()))
-        if batch_id > 0:
-            held = spark.read.schema(held_schema).parquet(target).filter(F.col("batch") < batch_id)
-            first = first.join(held.select(key), [key], "left_anti").select(*rows.columns)
-        first.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        rows = rows.persist()  # read for the look-up and for the write
+        try:
+            delta_batch(rows, batch_id, target, key, order, keys)
+        finally:
+            rows.unpersist()
 
     return (
         stream.writeStream.foreachBatch(load)

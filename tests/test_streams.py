@@ -3,7 +3,8 @@ from __future__ import annotations
 import os
 from pathlib import Path
 
-from feedkit.streaming.feeds import load_stream, stream_delta, stream_feed
+from feedkit.streaming.feeds import delta_batch, load_stream, stream_delta, stream_feed
+from feedkit.streaming.keys import KeyIndex
 
 from .conftest import rows
 
@@ -73,3 +74,34 @@ def test_delta_batch_can_run_again(spark, tmp_path):
     first = run(str(tmp_path / "state1"))
     # The same batches again over the same target, as after a lost checkpoint entry.
     assert run(str(tmp_path / "state2")) == first == [("1", "a"), ("2", "b"), ("3", "d")]
+
+
+def test_batches_read_the_buckets_of_their_own_keys_only(spark, tmp_path):
+    """Many batches of new keys with a few old ones among them: what is read follows the batch, not what came before."""
+    target, index = str(tmp_path / "out"), KeyIndex(spark, str(tmp_path / "keys"), "id", buckets=64)
+    read, total = [], 0
+    for n in range(16):
+        ids = [f"k{n}-{i}" for i in range(80)] + ([f"k{n - 1}-3", f"k{n // 2}-5"] if n else [])
+        rows_in = spark.createDataFrame([(k, str(v)) for v, k in enumerate(ids)] + [(None, "n")], SCHEMA)
+        delta_batch(rows_in, n, target, "id", ["v"], index)
+        read.append(sum(spark.read.option("basePath", f"{index.root}/keys").parquet(f"{index.root}/keys/bucket={b}").count() for b in index.opened))
+        total += 80
+    got = spark.read.schema(SCHEMA + ", batch LONG").parquet(target)
+    assert got.filter("id IS NOT NULL").count() == got.select("id").distinct().count() - 1 == total
+    assert got.filter("id IS NULL").count() == 16
+    assert read[0] == 0 and max(read) < 6 * total / 64  # of 64 buckets a few, not all keys
+    # The last batch again: the same rows, and the index as it was.
+    before = rows(got.filter("batch = 15"), "id", "v")
+    delta_batch(rows_in, 15, target, "id", ["v"], index)
+    again = spark.read.schema(SCHEMA + ", batch LONG").parquet(target).filter("batch = 15")
+    assert rows(again, "id", "v") == before
+    assert spark.read.parquet(f"{index.root}/keys").count() == total
+
+
+def test_a_target_without_an_index_gets_one(spark, tmp_path):
+    target, index = str(tmp_path / "out"), KeyIndex(spark, str(tmp_path / "keys"), "id", buckets=4)
+    spark.createDataFrame([("a", "1"), (None, "2")], SCHEMA).write.parquet(f"{target}/batch=0")
+    spark.createDataFrame([("b", "1")], SCHEMA).write.parquet(f"{target}/batch=1")
+    delta_batch(spark.createDataFrame([("a", "9"), ("c", "9"), ("b", "9")], SCHEMA), 2, target, "id", ["v"], index)
+    assert rows(spark.read.parquet(target), "id", "v", "batch") == [(None, "2", 0), ("a", "1", 0), ("b", "1", 1), ("c", "9", 2)]
+    assert index.covers(3) and not index.covers(7)
