@@ -9,12 +9,13 @@ included, lies above that, or when it has no words left; for the others the cap
 
 On Spark the texts become chunks of word codes, written once and bucketed by chunk. Words and grown phrases are counted
 exactly, without hashes in place of words: a phrase is named by the number of its frequent part and that of the word
-added. A chunk sends its distinct names with their counts to hash blocks and gets back the numbers of the frequent ones,
-so a very common word or phrase costs one entry per chunk.
+added. A chunk sends its distinct words, then the names of its phrases, with their counts to hash blocks and gets back
+the numbers of the frequent ones, so a very common word or phrase costs one entry per chunk.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .chunks import REPLY, by_block, packed, reply_table, unpacked
 from .scratch import keep, keep_bucketed
-from .words import Texts, column, mix, release, slices
+from .words import BASES, Texts, column, mix, ranges, release, slices
 
 CHUNK_BYTES = 4 << 20  # of text
 BLOCK_WORDS = 1 << 20  # of the corpus per hash block
@@ -117,39 +118,116 @@ _CODED = pa.schema(
 )
 
 
-def _list_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for chunk, words in zip(column(batch, "chunk").to_pylist(), column(batch, "words")):
-            table = unpacked(words.as_py())
-            code = pa.array(np.arange(table.num_rows, dtype=np.int32))
-            table = table.append_column("chunk", pa.array(np.full(table.num_rows, chunk))).append_column("code", code)
-            yield from table.to_batches()
+def _dealt(words: pa.Table, blocks: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of a chunk's words by (block, language); blocks and languages (as numbers) in that order. Equal words share a block."""
+    text = column(words, "word").cast(pa.large_string())
+    _, offsets, data = text.buffers()
+    bounds = np.frombuffer(offsets, np.int64)[text.offset : text.offset + len(text) + 1]
+    data = np.frombuffer(data, np.uint8) if len(text) else np.zeros(0, np.uint8)
+    spoken = column(words, "lang").dictionary_encode()
+    lang = spoken.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    seed = np.array([zlib.crc32(x.encode()) for x in spoken.dictionary.to_pylist()] or [0], np.uint64)
+    block = (mix(ranges(data[: int(bounds[-1])], bounds[:-1], bounds[1:], BASES[0]) + seed[lang]) % np.uint64(blocks)).astype(np.int64)
+    order = np.lexsort((lang, block))
+    return order, block[order], lang[order]
 
 
-def _pack_known(key: tuple, table: pa.Table) -> pa.Table:
-    blob = packed(table.select(["code", "id", "f"]))
-    return pa.table([pa.array([key[0].as_py()], pa.int64()), pa.array([blob], pa.binary())], names=["chunk", "known"])
+WORDS = "block long, chunk long, kind int, lang string, n int, size int, data binary"
+_WORDS = pa.schema(
+    [("block", pa.int64()), ("chunk", pa.int64()), ("kind", pa.int32()), ("lang", pa.string()), ("n", pa.int32()), ("size", pa.int32()), ("data", pa.binary())]
+)
+
+
+def _send_words(blocks: int):
+    """A chunk's distinct words with their counts, one message per block and language. Words hold no line feed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, blob in zip(column(batch, "chunk").to_pylist(), column(batch, "words")):
+                words, out = unpacked(blob.as_py()), []
+                order, block, lang = _dealt(words, blocks)
+                names = column(words, "lang").dictionary_encode().dictionary.to_pylist()
+                text, counts = column(words, "word").take(pa.array(order)).to_pylist(), column(words, "n").to_numpy()[order]
+                for b, s in by_block(block):
+                    for kind, part in by_block(lang[s]):
+                        lo, hi = s.start + part.start, s.start + part.stop
+                        raw = counts[lo:hi].astype("<i8").tobytes() + "\n".join(text[lo:hi]).encode()
+                        data = pa.compress(raw, codec="zstd", asbytes=True)
+                        out.append({"block": b, "chunk": chunk, "kind": kind, "lang": names[kind], "n": hi - lo, "size": len(raw), "data": data})
+                yield pa.RecordBatch.from_pylist(out, _WORDS)
+        release()
+
+    return run
+
 
+def _count_words(least: int):
+    """Counts of a block's words; every chunk learns which of its own are frequent, their numbers and counts."""
 
-def _only_frequent(left: pa.Table, right: pa.Table) -> pa.Table:
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        block, keys, counts = key[0].as_py(), [], []
+        sizes = table.column("n").to_numpy()
+        for lang, n, size, data in zip(*(table.column(c).to_pylist() for c in ("lang", "n", "size", "data"))):
+            raw = pa.decompress(data, size, codec="zstd", asbytes=True)
+            counts.append(np.frombuffer(raw[: 8 * n], "<i8"))
+            keys += [f"{lang}\n{word}" for word in raw[8 * n :].decode().split("\n")]
+        coded = pa.array(keys, pa.large_string()).dictionary_encode()
+        which, counts = coded.indices.to_numpy(), np.concatenate(counts)
+        total = np.zeros(len(coded.dictionary), np.int64)
+        np.add.at(total, which, counts)
+        number = np.where(total >= least, np.cumsum(total >= least) - 1 + (block << 32), -1)
+        ends = np.cumsum(sizes)
+        out = []
+        for chunk, kind, lo, hi in zip(table.column("chunk").to_pylist(), table.column("kind").to_pylist(), ends - sizes, ends):
+            own = which[lo:hi]
+            good = np.flatnonzero(number[own] >= 0)
+            if len(good):
+                more = _squeeze(number[own[good]], total[own[good]])
+                out.append({"chunk": chunk, "kind": kind, "block": block, "data": good.astype("<i4").tobytes(), "more": more})
+        release()
+        return pa.Table.from_pylist(out, _REPLY)
+
+    return run
+
+
+_REPLY = pa.schema([("chunk", pa.int64()), ("kind", pa.int32()), ("block", pa.int64()), ("data", pa.binary()), ("more", pa.binary())])
+
+
+def _only_frequent(blocks: int):
     """A chunk with its frequent words only; others end a piece, as no frequent phrase holds them."""
-    if not left.num_rows or not right.num_rows:
-        return _BASE.empty_table()
-    words, codes = unpacked(left.column("words")[0].as_py()), column(unpacked(left.column("codes")[0].as_py()), "code").to_numpy()
-    known = unpacked(right.column("known")[0].as_py()).sort_by("code")
-    at = column(known, "code").to_numpy()
-    new = np.full(words.num_rows + 1, -1, np.int32)  # the last entry is for -1
-    new[at] = np.arange(len(at))
-    codes = new[codes]
-    codes = codes[(codes >= 0) | np.concatenate(([True], codes[:-1] >= 0))]  # one -1 between pieces
-    words = words.take(pa.array(at)).select(["lang", "word"]).append_column("id", known.column("id")).append_column("f", known.column("f"))
-    langs = pc.unique(words.column("lang")).to_pylist()
-    release()
-    return pa.Table.from_pylist([{"chunk": left.column("chunk")[0].as_py(), "langs": langs, "words": packed(words), "codes": packed(pa.table([pa.array(codes)], names=["code"]))}], _BASE)
 
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return _BASE.empty_table()
+        words, codes = unpacked(left.column("words")[0].as_py()), column(unpacked(left.column("codes")[0].as_py()), "code").to_numpy()
+        replies = {(r["block"], r["kind"]): r for r in right.to_pylist()}
+        order, block, lang = _dealt(words, blocks)
+        gid, f = np.full(len(order), -1, np.int64), np.zeros(len(order), np.int64)
+        for b, s in by_block(block):
+            for kind, part in by_block(lang[s]):
+                r = replies.get((b, kind))
+                if r:
+                    good = np.frombuffer(r["data"], "<i4")
+                    at = order[s.start + part.start + good]
+                    gid[at], f[at] = _spread(r["more"], len(good), "<i8", "<i8")
+        kept = np.flatnonzero(gid >= 0)
+        new = np.full(words.num_rows + 1, -1, np.int32)  # the last entry is for -1
+        new[kept] = np.arange(len(kept))
+        codes = new[codes]
+        codes = codes[(codes >= 0) | np.concatenate(([True], codes[:-1] >= 0))]  # one -1 between pieces
+        words = words.take(pa.array(kept)).select(["lang", "word"]).append_column("id", pa.array(gid[kept])).append_column("f", pa.array(f[kept]))
+        tops = words.group_by("lang").aggregate([("f", "max")])
+        langs = [{"lang": a, "top": b} for a, b in zip(tops.column("lang").to_pylist(), tops.column("f_max").to_pylist())]
+        release()
+        coded = packed(pa.table([pa.array(codes)], names=["code"]))
+        return pa.Table.from_pylist([{"chunk": left.column("chunk")[0].as_py(), "langs": langs, "words": packed(words), "codes": coded}], _BASE)
+
+    return run
 
-BASE = "chunk long, langs array<string>, words binary, codes binary"
-_BASE = pa.schema([("chunk", pa.int64()), ("langs", pa.list_(pa.string())), ("words", pa.binary()), ("codes", pa.binary())])
+
+BASE = "chunk long, langs array<struct<lang string, top bigint>>, words binary, codes binary"
+_BASE = pa.schema(
+    [("chunk", pa.int64()), ("langs", pa.list_(pa.struct([("lang", pa.string()), ("top", pa.int64())]))), ("words", pa.binary()), ("codes", pa.binary())]
+)
 
 
 # --- growth within a chunk ---------------------------------------------------------------------------------------
@@ -356,7 +434,7 @@ def _pack_open(key: tuple, table: pa.Table) -> pa.Table:
 
 def _expand(base: DataFrame, opened: DataFrame, cap: int, least: int, blocks: int) -> DataFrame:
     """All phrases that score more than any outside the frontier of ``cap`` can, per chunk that holds them."""
-    spoken = base.select("chunk", F.explode("langs").alias("lang")).join(opened, "lang")
+    spoken = base.select("chunk", F.explode("langs.lang").alias("lang")).join(opened, "lang")
     replies = keep(spoken.groupBy("chunk").applyInArrow(_pack_open, REPLY), "open_chunks")
 
     def meet(replies: DataFrame, fn, schema: str) -> DataFrame:
@@ -388,16 +466,14 @@ def collocations(docs: DataFrame, *, text: str = "text", lang: str = "lang", lea
     rows = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
     coded = keep_bucketed(rows.mapInArrow(_chunks(chunk_bytes), CODED), "chunk", "phrase_chunks")
     totals = coded.select(F.explode("langs").alias("t")).groupBy("t.lang").agg(F.sum("t.n").alias("n"))
-    words = coded.select("chunk", "words").mapInArrow(_list_words, "lang string, word string, n long, chunk long, code int")
-    frequent = words.groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
-    frequent = keep(frequent.withColumn("id", F.monotonically_increasing_id()), "frequent_words")
-    opened = keep(totals.join(frequent.groupBy("lang").agg(F.max("f").alias("top")), "lang"), "languages")
-    known = words.select("lang", "word", "chunk", "code").join(frequent, ["lang", "word"])
-    known = known.groupBy("chunk").applyInArrow(_pack_known, "chunk long, known binary")
-    base = coded.select("chunk", "words", "codes").groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(_only_frequent, BASE)
-    base = keep_bucketed(base, "chunk", "phrase_words")
     n = totals.agg(F.sum("n")).first()[0] or 0
     blocks, cap, best = n // BLOCK_WORDS + 1, FIRST_CAP * least, spark.createDataFrame([], OUT)
+    sent = coded.select("chunk", "words").mapInArrow(_send_words(blocks), WORDS)
+    known = sent.groupBy("block").applyInArrow(_count_words(least), REPLY)
+    base = coded.select("chunk", "words", "codes").groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(_only_frequent(blocks), BASE)
+    base = keep_bucketed(base, "chunk", "phrase_words")
+    tops = base.select(F.explode("langs").alias("t")).groupBy("t.lang").agg(F.max("t.top").alias("top"))
+    opened = keep(totals.join(tops, "lang"), "languages")
     while not opened.isEmpty():
         found = _expand(base, opened, cap, least, blocks)
         sides = [f(c).alias(f"{name}_{c}") for c in ("before", "after") for name, f in (("low", F.min), ("high", F.max))]

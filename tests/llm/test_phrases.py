@@ -60,7 +60,7 @@ def small():
     return _rows()
 
 
-@pytest.mark.parametrize("least, limit, cap, rise", [(8, 12, 1, 3), (8, 2000, 16, 32), (20, 3, 1, 2)])
+@pytest.mark.parametrize("least, limit, cap, rise", [(8, 12, 1, 4), (20, 2000, 16, 32)])
 def test_same_as_brute_force(spark, monkeypatch, small, least, limit, cap, rise):
     monkeypatch.setattr(phrases, "BLOCK_WORDS", 1500)
     monkeypatch.setattr(phrases, "FIRST_CAP", cap)
