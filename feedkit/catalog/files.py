@@ -7,12 +7,13 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ..functions import dates, text
 from ..session import scratch_dir
 from ..snapshots import publish
-from ..sinks.exports import export_delimited, file_log, line_counts, name_parts, with_export_name
+from ..sinks.exports import export_delimited, export_ordered_file, file_log, line_counts, with_export_name
 from ..sinks.tables import append, truncate, truncate_load
 from ..sources.files import (
     clean_headers,
     if_empty,
     pick_file,
+    read_checked,
     read_delimited,
     skip_preamble,
     skip_rows,
@@ -48,6 +49,29 @@ def src_csv_native(t: Tables):
     return read_delimited(t.spark, _dropped(t, noted, "csv-quotes"), escape='"')
 
 
+# Lines of the drop that are not as they should be: a field too many, fields too few, a number that is none.
+DAMAGE = {"c_custkey % 50 = 0": "c_custkey || ',x,' || c_nationkey || ',more'", "c_custkey % 77 = 0": "'' || c_custkey", "c_custkey % 91 = 0": "c_custkey || ',x,none'"}
+DAMAGED = " OR ".join(DAMAGE)
+LINE = "CASE " + " ".join(f"WHEN {c} THEN {x}" for c, x in DAMAGE.items()) + " ELSE c_custkey || ',x,' || c_nationkey END"
+
+
+@query(
+    "rejected_lines",
+    f"SELECT 'row' AS route, CAST(c_custkey AS BIGINT) AS c_custkey, 'x' AS note, CAST(c_nationkey AS INTEGER) AS c_nationkey, CAST(NULL AS VARCHAR) AS text, "
+    f"CAST(NULL AS BIGINT) AS line, 'customers.csv' AS filename FROM customer WHERE NOT ({DAMAGED}) "
+    f"UNION ALL SELECT 'reject', NULL, NULL, NULL, text, line, 'customers.csv' FROM (SELECT *, {LINE} AS text, "
+    f"1 + row_number() OVER (ORDER BY c_custkey) AS line FROM customer) WHERE {DAMAGED}",
+)
+def rejected_lines(t: Tables):
+    path = scratch_dir(t.spark, "damaged")
+    lines = t.customer.select("c_custkey", F.expr(LINE).alias("c_custkey,note,c_nationkey"))
+    # The lines hold separators of their own, so they are written with one that they don't hold.
+    export_ordered_file(lines, path, "customers.csv", ["c_custkey"], columns=[lines.columns[1]], sep="\t")
+    checked = read_checked(t.spark, path, "c_custkey BIGINT, note STRING, c_nationkey INT")
+    good = checked.rows.select(F.lit("row").alias("route"), "*").withColumns({"text": F.lit(None).cast("string"), "line": F.lit(None).cast("long")})
+    return good.unionByName(checked.rejects.withColumn("route", F.lit("reject")), allowMissingColumns=True)
+
+
 @query("src_csv_infer", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def src_csv_infer(t: Tables):
     read = read_delimited(t.spark, _dropped(t, t.customer, "csv-infer"), infer=True)
@@ -259,8 +283,7 @@ OUTBOUND = {"c_acctbal < 0": "Students_06_30_2024_1.txt", "c_acctbal >= 0": "Stu
 def outbound_file_log(t: Tables):
     path = scratch_dir(t.spark, "outbound")
     for i, (part, name) in enumerate(OUTBOUND.items()):
-        export_delimited(t.customer.filter(part), f"{path}/{i}", sep="|", single=True)
-        name_parts(t.spark, f"{path}/{i}", name)
+        export_ordered_file(t.customer.filter(part), f"{path}/{i}", name, ["c_custkey"], sep="|")
     log = file_log(t.spark, path, "students", F.lit("2024-06-30").cast("date"), suffix=".txt")
     recent = F.col("modified") > F.current_timestamp() - F.expr("INTERVAL 1 DAY")
     return log.select("name", "category", "processed_date", "numberofrows", (F.col("size") > 0).alias("has_size"), recent.alias("is_recent"))

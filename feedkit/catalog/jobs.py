@@ -10,7 +10,7 @@ from ..operators.ranking import keep_first
 from ..plans import completions as c, extracts as x, feeds, people as p, reports as r, transfers as tr
 from ..session import scratch_dir
 from ..snapshots import read_snapshot
-from ..sinks.exports import export_delimited, name_parts, with_export_name
+from ..sinks.exports import export_delimited, export_ordered_file, name_parts, with_export_name
 from ..sinks.tables import append
 from ..sources.files import read_delimited, skip_preamble, with_file_name
 from ..sources.tables import read_table
@@ -971,8 +971,8 @@ def completed_report_load(t: Tables):
     )
     for k, name in enumerate(COMPLETED_FILES):
         drop = head.unionByName(report.filter(F.col("c_custkey") % 2 == k).selectExpr(*COMPLETED_ROWS))
-        drop.repartition(1).sortWithinPartitions("place").drop("place").write.csv(f"{path}/{k}")
-        name_parts(t.spark, f"{path}/{k}", name)
+        columns = [c for c in drop.columns if c != "place"]
+        export_ordered_file(drop, path, name, ["place"], columns=columns, header=False)
     read = with_file_name(read_delimited(t.spark, path, r.COMPLETED_SCHEMA, header=False, recursive=True))
     loaded = r.load_report(skip_preamble(read, r.PREAMBLE_ROWS), "credential", "Completed File ")
     target = _report(t).filter("segment = 'BUILDING'").select("credentialnumber")
@@ -1021,8 +1021,9 @@ EXAM_ROWS = [
 )
 def exam_load(t: Tables):
     path = scratch_dir(t.spark, "exam")
-    export_delimited(t.orders.selectExpr(*EXAM_ROWS), path, sep="|")
-    read = read_delimited(t.spark, path, sep="|").withColumn("filename", F.lit("exam_20240630_101500.TXT"))
+    drop = t.orders.selectExpr(*EXAM_ROWS, "o_orderkey AS place")
+    export_ordered_file(drop, path, "exam_20240630_101500.TXT", ["place"], columns=drop.columns[:-1], sep="|")
+    read = with_file_name(read_delimited(t.spark, path, sep="|"))
     return r.load_feed(read, r.EXAM, "exam_", "yyyyMMdd_HHmmss", "filemodifieddate")
 
 
@@ -1045,8 +1046,9 @@ RELATION_ROWS = [
 )
 def relation_load(t: Tables):
     path = scratch_dir(t.spark, "relation")
-    export_delimited(t.orders.selectExpr(*RELATION_ROWS), path, sep="|")
-    read = read_delimited(t.spark, path, sep="|").withColumn("filename", F.lit("rel_20240630_101500.TXT"))
+    drop = t.orders.selectExpr(*RELATION_ROWS, "o_orderkey AS place")
+    export_ordered_file(drop, path, "rel_20240630_101500.TXT", ["place"], columns=drop.columns[:-1], sep="|")
+    read = with_file_name(read_delimited(t.spark, path, sep="|"))
     return r.load_feed(read, r.RELATIONSHIP, "rel_", "yyyyMMdd_HHmmss", "filemodifieddate")
 
 

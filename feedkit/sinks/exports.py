@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import uuid
+from collections.abc import Iterator, Sequence
+from urllib.parse import urlsplit
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..sources.files import list_files
+from ..sources.files import decoded_path, list_files
+from ..sources.listing import local_path
 
 BOM = "\ufeff"
 
@@ -53,10 +61,93 @@ def name_parts(spark: SparkSession, path: str, name: str) -> None:
     spark.catalog.refreshByPath(path)
 
 
+def export_ordered_file(
+    df: DataFrame,
+    path: str,
+    name: str,
+    order: Sequence[str | Column],
+    *,
+    columns: Sequence[str] | None = None,
+    parts: int | None = None,
+    **options,
+) -> None:
+    """Write ``df`` as the one delimited file ``path``/``name``, its rows in ``order``, without gathering them in a task.
+
+    Rows are exchanged by ranges of ``order`` and written as headless parts, which are then joined in the store: on a
+    shared file system every part is copied to its place in the file by a task of its own, on HDFS the file system's
+    ``concat`` does it. Other stores raise NotImplementedError before a row is written; there, write several files and
+    name them (``name_parts``). ``columns`` are those written, by default all. The options are those of
+    ``export_delimited``. The file appears under its name when it is complete.
+    """
+    spark = df.sparkSession
+    scheme = urlsplit(path).scheme
+    if scheme not in ("", "file", "hdfs"):
+        raise NotImplementedError(f"{scheme} can't join parts of a file")
+    if "single" in options:
+        raise TypeError("the rows are not gathered")
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    ranged = ranged.select(*[f"`{c}`" for c in columns]) if columns else ranged
+    work = f"{path.rstrip('/')}/_parts-{uuid.uuid4().hex}"
+    header = options.pop("header", True)
+    export_delimited(ranged, f"{work}/rows", **{**options, "header": False, "bom": False})
+    if header:  # a frame without rows writes its headings
+        export_delimited(spark.createDataFrame([], ranged.schema).coalesce(1), f"{work}/head", **options)
+    folders = [f"{work}/head", f"{work}/rows"] if header else [f"{work}/rows"]
+    pieces = []  # in the order of the file; Spark numbers parts by their ranges
+    for folder in folders:
+        found = list_files(spark, folder).filter(F.col("name").startswith("part-")).select("path", "name", "size")
+        pieces += [(r["path"], r["size"]) for r in sorted(found.collect(), key=lambda r: r["name"])]
+    if scheme == "hdfs":
+        _concat(spark, [p for p, _ in pieces], f"{path.rstrip('/')}/{name}")
+    else:
+        _place(spark, pieces, f"{local_path(path).rstrip('/')}/{name}")
+    for folder in folders:  # give their space back
+        spark.createDataFrame([], "done string").coalesce(1).write.mode("overwrite").text(folder)
+    spark.catalog.refreshByPath(path)
+
+
+def _place(spark: SparkSession, pieces: list[tuple[str, int]], target: str) -> None:
+    """Copy every piece to its place in ``target``, all at once; a task that runs again writes the same bytes there."""
+    work = f"{target}.{uuid.uuid4().hex}"
+    starts, total = [], 0
+    for _, size in pieces:
+        starts.append(total)
+        total += size
+    with open(work, "wb") as file:
+        file.truncate(total)
+
+    def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in batch.to_pylist():
+                with open(local_path(piece["path"]), "rb") as source, open(work, "r+b") as file:
+                    file.seek(piece["start"])
+                    shutil.copyfileobj(source, file, 8 << 20)
+        yield pa.RecordBatch.from_pydict({"done": pa.array([1], pa.int64())})
+
+    plan = spark.createDataFrame([(p, s) for (p, n), s in zip(pieces, starts) if n], "path string, start long")
+    plan.repartition(max(1, min(len(pieces), 1024)), "path").mapInArrow(copy, "done long").write.format("noop").mode("overwrite").save()
+    os.replace(work, target)
+
+
+def _concat(spark: SparkSession, pieces: list[str], target: str) -> None:
+    """Join the pieces by the file system's own operation, which moves blocks and copies nothing."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    first, to = make(pieces[0]), make(target)
+    fs = to.getFileSystem(spark._jsc.hadoopConfiguration())
+    rest = spark.sparkContext._gateway.new_array(make, len(pieces) - 1)
+    for i, piece in enumerate(pieces[1:]):
+        rest[i] = make(piece)
+    if len(rest):
+        fs.concat(first, rest)
+    if not fs.rename(first, to):
+        raise OSError(f"the joined file can't be named {target}")
+
+
 def line_counts(spark: SparkSession, path: str) -> DataFrame:
     """Lines per file: path, n_lines. Files are split across tasks and counted before the shuffle."""
     lines = spark.read.option("recursiveFileLookup", True).text(path)
-    return lines.select(F.col("_metadata.file_path").alias("path")).groupBy("path").agg(F.count("*").alias("n_lines"))
+    return lines.select(decoded_path(F.col("_metadata.file_path")).alias("path")).groupBy("path").agg(F.count("*").alias("n_lines"))
 
 
 def file_log(

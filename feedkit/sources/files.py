@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+
+from .listing import FileListing, can_list
 
 
 def read_delimited(
@@ -41,9 +44,14 @@ def read_delimited(
     return reader.csv(path)
 
 
+def decoded_path(path: Column) -> Column:
+    """A path as it is named; Spark reports paths URL-encoded, and a plus sign stands for itself."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def read_file_name() -> Column:
     """Base name of the file a row was read from. Spark reports it URL-encoded; a plus sign stands for itself."""
-    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    return decoded_path(F.col("_metadata.file_name"))
 
 
 def with_file_name(df: DataFrame, to: str = "filename") -> DataFrame:
@@ -93,15 +101,20 @@ def skip_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
 def list_files(spark: SparkSession, path: str, suffix: str | None = None, contains: str | None = None) -> DataFrame:
     """One row per file below ``path``: path, name, modified, size. File contents are not read.
 
-    Spark's file scan leaves out files of zero bytes.
+    Folders are listed in parallel, files of zero bytes included. Stores that only Spark can open are listed by its own
+    file scan, which leaves those out.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    files = reader.load(path).select(
-        F.col("_metadata.file_path").alias("path"),
-        read_file_name().alias("name"),
-        F.col("modificationTime").alias("modified"),
-        F.col("length").alias("size"),
-    )
+    if can_list(path):
+        spark.dataSource.register(FileListing)
+        files = spark.read.format("file_listing").load(path)
+    else:
+        scan = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        files = scan.select(
+            decoded_path(F.col("_metadata.file_path")).alias("path"),
+            read_file_name().alias("name"),
+            F.col("modificationTime").alias("modified"),
+            F.col("length").alias("size"),
+        )
     if suffix is not None:
         files = files.filter(F.col("name").endswith(suffix))
     if contains is not None:
@@ -124,6 +137,57 @@ def pick_file(
     return listing.orderBy(when, F.col("name").asc()).offset(nth).limit(1)
 
 
+class Checked(NamedTuple):
+    """Lines of a drop by what became of them."""
+
+    rows: DataFrame  #: the columns of the schema and ``filename``
+    rejects: DataFrame  #: filename, line (from 1, the header counted), text
+
+
+def read_checked(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str,
+    *,
+    sep: str = ",",
+    header: bool = True,
+    escape: str | None = None,
+    recursive: bool = False,
+) -> Checked:
+    """Read delimited text and set aside lines with too few or too many fields, or with a value its type does not take.
+
+    A plain read makes nulls of them. Good rows are those of ``read_delimited``; blank lines are neither. A record is a
+    line: quoted line ends are not supported here. Lines are numbered from their file's splits, and only for rejects.
+    """
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    options = {"sep": sep, "quote": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    if escape is not None:
+        options["escape"] = escape
+    wanted = T.StructType([*[T.StructField(f.name, f.dataType, True) for f in schema.fields], T.StructField("_corrupt", T.StringType())])
+    reader = spark.read.option("recursiveFileLookup", recursive)
+    lines = reader.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("_path"),
+        read_file_name().alias("filename"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_at"),
+    )
+    # One row per split: its first row's number, and the lines of its file before it.
+    splits = lines.groupBy("_path", "_block").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    before = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    body = lines
+    if header:
+        heads = splits.filter("_before = 0").select(F.col("_first").alias("_at"))
+        body = body.join(heads, "_at", "left_anti")
+    text = F.col("value")
+    parsed = body.filter(F.trim(text) != "").withColumn("_row", F.from_csv(text, wanted.toDDL(), options))
+    good = parsed.filter("_row._corrupt IS NULL").select(*[F.col("_row")[f.name].alias(f.name) for f in schema.fields], "filename")
+    bad = parsed.filter("_row._corrupt IS NOT NULL").select("filename", "value", "_path", "_block", "_at")
+    numbered = bad.join(splits, ["_path", "_block"])
+    return Checked(good, numbered.select("filename", (F.col("_before") + F.col("_at") - F.col("_first") + 1).alias("line"), F.col("value").alias("text")))
+
+
 def if_empty(df: DataFrame, on_rows: Callable[[DataFrame], DataFrame], on_empty: Callable[[DataFrame], DataFrame]):
     """Run ``on_rows`` or, when the frame has no rows, ``on_empty``. Reads at most one row to decide."""
     return on_empty(df) if df.isEmpty() else on_rows(df)

@@ -13,7 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 BITS = 32_768  # of the bitmaps that bitmap_construct_agg makes
-BUCKETS = 1024
+BUCKETS = 64  # a batch writes a file for each of its buckets
 
 
 def _bit(bitmap: str, position: Column) -> Column:
