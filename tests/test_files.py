@@ -169,14 +169,15 @@ def test_file_log(spark, tmp_path):
     d = tmp_path / "out"
     write(d / "a.txt", "id|x\n1|a\n2|b\n")
     write(d / "sub" / "a.txt", "id|x\n1|a\n")
-    write(d / "empty.txt", "")  # no bytes: not listed
+    write(d / "empty.txt", "")
     log = file_log(spark, str(d), "students", F.lit("2024-06-30").cast("date"))
     assert rows(log, "name", "numberofrows", "size", "category") == [
         ("a.txt", 1, 9, "students"),
         ("a.txt", 2, 13, "students"),
+        ("empty.txt", 0, 0, "students"),
     ]
     bare = file_log(spark, str(d), "ids", F.lit("2024-06-30").cast("date"), has_header=False)
-    assert rows(bare, "name", "numberofrows") == [("a.txt", 2), ("a.txt", 3)]
+    assert rows(bare, "name", "numberofrows") == [("a.txt", 2), ("a.txt", 3), ("empty.txt", 0)]
     assert rows(line_counts(spark, str(d)), "n_lines") == [(2,), (3,)]
 
 
