@@ -1,7 +1,7 @@
 """Words and word windows of a whole Arrow column at once, in numpy.
 
-Texts stay in the column's own UTF-8 buffer; words are byte ranges of it, hashed with a polynomial whose prefix
-sums give any range in one subtraction. No Python object is made per word.
+Texts stay in the column's own UTF-8 buffer; words are byte ranges of it, hashed with polynomials modulo a prime whose
+prefix sums give any range in one subtraction. No Python object is made per word.
 """
 
 from __future__ import annotations
@@ -18,9 +18,12 @@ import pyarrow.compute as pc
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
-# Two odd multipliers for the polynomial, and those of the finishing mix (splitmix64).
+# What tells two hashes of a text apart; the multipliers of a hash are derived from it.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-_MASK = (1 << 64) - 1
+PRIME = (1 << 31) - 1
+_P, _31 = np.uint64(PRIME), np.uint64(31)
+SHORT = 64
+_SMALL = 1 << 23  # so many bytes times powers add up in 64 bits
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -32,27 +35,91 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _fold(x: np.ndarray) -> np.ndarray:
+    """A smaller number with the same remainder modulo ``PRIME``."""
+    return (x & _P) + (x >> _31)
+
+
+def _remainder(x: np.ndarray) -> np.ndarray:
+    x = _fold(_fold(x))
+    return np.where(x >= _P, x - _P, x)
+
+
+@lru_cache(maxsize=12)
+def _powers(multiplier: int, size: int) -> np.ndarray:
+    out = np.ones(size, np.uint32)
+    done = 1
+    while done < size:
+        step = np.uint64(pow(multiplier, done, PRIME))
+        more = min(done, size - done)
+        out[done : done + more] = _remainder(out[:more].astype(np.uint64) * step)
+        done += more
+    return out
+
+
 @lru_cache(maxsize=3)
-def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+def _odd_powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     up, down = np.full(size, base, np.uint64), np.full(size, pow(base, -1, 1 << 64), np.uint64)
     up[0] = down[0] = 1
     return np.cumprod(up), np.cumprod(down)
 
 
-def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse modulo 2**64, at least ``n + 1`` of them."""
+def _room(n: int) -> int:
     size = 1 << 19
     while size < n + 1:
         size *= 2
-    return _powers(base, size)
+    return size
+
+
+def powers(multiplier: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a multiplier and of its inverse modulo ``PRIME``, at least ``n + 1`` of them."""
+    return _powers(multiplier, _room(n)), _powers(pow(multiplier, -1, PRIME), _room(n))
+
+
+@lru_cache(maxsize=16)
+def _multiplier(base: int, k: int) -> int:
+    return int(mix(np.array([(base + k) & ((1 << 64) - 1)], np.uint64))[0]) % (PRIME - 3) + 2
 
 
 def ranges(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
-    """Mixed polynomial hash of ``values[start:end]`` for every pair."""
-    up, down = powers(base, len(values))
+    """Mixed hash of ``values[start:end]`` for every pair.
+
+    Ranges of more than ``SHORT`` values have two polynomials modulo a prime, 62 bits together. Shorter ones have one
+    modulo 2**64, which is faster; for long ranges it would not do, as some pairs of them (Thue-Morse words) have one value
+    whatever the multiplier, while at this length the worst of them still differ in 38 bits.
+    """
+    long = np.flatnonzero(ends - starts > SHORT)
+    if len(long) and len(long) == len(starts):
+        return _long(values, starts, ends, base)
+    up, down = _odd_powers(base, _room(len(values)))
     total = np.zeros(len(values) + 1, np.uint64)
     np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[: len(values)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    out = mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    if len(long):
+        out[long] = _long(values, starts[long], ends[long], base)
+    return out
+
+
+def _long(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
+    sizes = ends - starts
+    if int(sizes.sum()) < len(values) // 2:  # only what the ranges hold
+        upto = np.cumsum(sizes)
+        values = values[np.arange(int(upto[-1])) + np.repeat(starts - (upto - sizes), sizes)]
+        starts, ends = upto - sizes, upto
+    halves = []
+    for k in range(2):
+        multiplier = _multiplier(base, k)
+        up, down = powers(multiplier, len(values))
+        if values.dtype == np.uint8:
+            terms = (values.astype(np.uint64) + np.uint64(1)) * up[: len(values)]
+        else:
+            terms = (mix(values.astype(np.uint64) + np.uint64(multiplier)) >> np.uint64(33)) * up[: len(values)]
+        if values.dtype != np.uint8 or len(values) > _SMALL:
+            terms = _fold(terms)
+        total = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(terms, out=total[1:])
+        halves.append(_remainder(_remainder(total[ends] - total[starts]) * down[starts]))
+    return mix((halves[0] << _31 | halves[1]) + sizes.astype(np.uint64) * np.uint64(BASES[0]))
 
 
 class Texts:
