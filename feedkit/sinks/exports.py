@@ -27,8 +27,9 @@ def export_delimited(
     encoding: str = "UTF-8",
     bom: bool = False,
     single: bool = False,
+    keep_blanks: bool = False,
 ) -> None:
-    """Write delimited text into folder ``path``.
+    """Write delimited text into folder ``path``. Blanks around a value are not written, but with ``keep_blanks``.
 
     Output is partitioned; ``single=True`` gathers it into one file for receivers that need exactly one, and so
     is meant for small extracts only (the plan above the gathering shuffle stays parallel). ``bom`` puts a byte-order mark in front of the first heading.
@@ -40,6 +41,8 @@ def export_delimited(
     if single:
         df = df.repartition(1)
     writer = df.write.mode("overwrite").option("sep", sep).option("header", header).option("quoteAll", quote_all)
+    if keep_blanks:
+        writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     writer.option("escape", '"').option("encoding", encoding).csv(path)
 
 
