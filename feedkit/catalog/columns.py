@@ -7,6 +7,8 @@ from pyspark.sql import functions as F, types as T
 from ..operators import mapping as m, relate
 from ..operators.routing import length_errors, route
 from .inputs import ORDER_DAY
+from ..session import scratch_dir
+from ..sources.tables import read_filled
 from .registry import Tables, query
 
 # Orders as a raw feed brings them: text only, some values unfit for their type.
@@ -74,7 +76,9 @@ def resolve_make_cols(t: Tables):
 def drop_null_fields(t: Tables):
     wide = raw(t).select("o_orderkey", "status")
     wide = m.with_null(m.with_null(wide, "county", "string"), "modified", "timestamp")
-    return m.drop_all_null_columns(wide)
+    path = scratch_dir(t.spark, "wide")
+    wide.write.parquet(path)
+    return read_filled(t.spark, path)
 
 
 @query(

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ..functions import dates, text
 from ..session import scratch_dir
 from ..snapshots import publish
-from ..sinks.exports import export_delimited, export_ordered_file, file_log, line_counts, with_export_name
+from ..sinks.exports import export_delimited, export_log, export_ordered_file, line_counts, with_export_name
 from ..sinks.tables import append, truncate, truncate_load
 from ..sources.files import (
     clean_headers,
@@ -282,9 +282,11 @@ OUTBOUND = {"c_acctbal < 0": "Students_06_30_2024_1.txt", "c_acctbal >= 0": "Stu
 )
 def outbound_file_log(t: Tables):
     path = scratch_dir(t.spark, "outbound")
-    for i, (part, name) in enumerate(OUTBOUND.items()):
-        export_ordered_file(t.customer.filter(part), f"{path}/{i}", name, ["c_custkey"], sep="|")
-    log = file_log(t.spark, path, "students", F.lit("2024-06-30").cast("date"), suffix=".txt")
+    sent = {
+        name: export_ordered_file(t.customer.filter(part), f"{path}/{i}", name, ["c_custkey"], sep="|")
+        for i, (part, name) in enumerate(OUTBOUND.items())
+    }
+    log = export_log(t.spark, sent, path, "students", F.lit("2024-06-30").cast("date"), suffix=".txt")
     recent = F.col("modified") > F.current_timestamp() - F.expr("INTERVAL 1 DAY")
     return log.select("name", "category", "processed_date", "numberofrows", (F.col("size") > 0).alias("has_size"), recent.alias("is_recent"))
 

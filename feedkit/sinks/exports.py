@@ -5,11 +5,12 @@ from __future__ import annotations
 import os
 import shutil
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from typing import NamedTuple
 from urllib.parse import urlsplit
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..sources.files import decoded_path, list_files
 from ..sources.listing import local_path
@@ -46,6 +47,41 @@ def export_delimited(
     writer.option("escape", '"').option("encoding", encoding).csv(path)
 
 
+class Counted(NamedTuple):
+    """A frame to write, and what was counted on the way once it is written."""
+
+    df: DataFrame
+    found: Observation
+
+    @property
+    def n_rows(self) -> int:
+        return self.found.get["n_rows"]
+
+    @property
+    def checksum(self) -> int:
+        """Over all values, whatever the order of the rows; 0 without rows."""
+        return self.found.get["checksum"] or 0
+
+
+def counted(df: DataFrame) -> Counted:
+    """Count rows and add up a checksum while ``df`` is written, so that a log needs no second read.
+
+    Spark takes each partition's counts once, from the attempt that finished it.
+    """
+    found = Observation()
+    each = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")
+    return Counted(df.observe(found, F.count(F.lit(1)).alias("n_rows"), F.sum(each).alias("checksum")), found)
+
+
+def export_log(
+    spark: SparkSession, exports: Mapping[str, Counted], path: str, category: str, as_of: Column, *, suffix: str | None = None
+) -> DataFrame:
+    """The log of files that were just written, by name: as ``file_log``, with the rows and checksums counted then."""
+    seen = spark.createDataFrame([(n, c.n_rows, str(c.checksum)) for n, c in exports.items()], "name string, numberofrows long, checksum string")
+    files = list_files(spark, path, suffix=suffix).join(seen, "name")
+    return files.select("name", "modified", "numberofrows", "size", F.lit(category).alias("category"), as_of.alias("processed_date"), "checksum")
+
+
 def name_parts(spark: SparkSession, path: str, name: str) -> None:
     """Give the written files of a folder the ``name`` their receiver expects.
 
@@ -73,14 +109,14 @@ def export_ordered_file(
     columns: Sequence[str] | None = None,
     parts: int | None = None,
     **options,
-) -> None:
+) -> Counted:
     """Write ``df`` as the one delimited file ``path``/``name``, its rows in ``order``, without gathering them in a task.
 
     Rows are exchanged by ranges of ``order`` and written as headless parts, which are then joined in the store: on a
     shared file system every part is copied to its place in the file by a task of its own, on HDFS the file system's
     ``concat`` does it. Other stores raise NotImplementedError before a row is written; there, write several files and
     name them (``name_parts``). ``columns`` are those written, by default all. The options are those of
-    ``export_delimited``. The file appears under its name when it is complete.
+    ``export_delimited``. The file appears under its name when it is complete. What was written is counted on the way.
     """
     spark = df.sparkSession
     scheme = urlsplit(path).scheme
@@ -91,9 +127,10 @@ def export_ordered_file(
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     ranged = ranged.select(*[f"`{c}`" for c in columns]) if columns else ranged
+    written = counted(ranged)  # after the exchange, which looks at the rows once more to find its ranges
     work = f"{path.rstrip('/')}/_parts-{uuid.uuid4().hex}"
     header = options.pop("header", True)
-    export_delimited(ranged, f"{work}/rows", **{**options, "header": False, "bom": False})
+    export_delimited(written.df, f"{work}/rows", **{**options, "header": False, "bom": False})
     if header:  # a frame without rows writes its headings
         export_delimited(spark.createDataFrame([], ranged.schema).coalesce(1), f"{work}/head", **options)
     folders = [f"{work}/head", f"{work}/rows"] if header else [f"{work}/rows"]
@@ -108,6 +145,7 @@ def export_ordered_file(
     for folder in folders:  # give their space back
         spark.createDataFrame([], "done string").coalesce(1).write.mode("overwrite").text(folder)
     spark.catalog.refreshByPath(path)
+    return written
 
 
 def _place(spark: SparkSession, pieces: list[tuple[str, int]], target: str) -> None:

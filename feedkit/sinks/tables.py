@@ -8,6 +8,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from ..snapshots import latest, publish, read_snapshot
+from ..sources.tables import jdbc_options
 
 
 def _is_path(target: str) -> bool:
@@ -91,11 +92,29 @@ def jdbc_write_options(
     return options
 
 
-def write_jdbc(df: DataFrame, url: str, table: str, properties=None, *, replace: bool, connections: int = 16) -> None:
-    """Load into a database table: ``replace`` truncates first, otherwise rows are appended.
+def swap_script(table: str, staged: str, columns: Iterable[str]) -> str:
+    """One transaction that puts the staged rows in the place of a table's."""
+    names = ", ".join(columns)
+    return f"BEGIN; DELETE FROM {table}; INSERT INTO {table} ({names}) SELECT {names} FROM {staged}; COMMIT"
 
-    ``connections`` caps the partitions, and so the sessions opened against the database at a time. With ``replace``
-    the database empties the table before the frame is evaluated: the frame must not read the same table.
+
+def write_jdbc(
+    df: DataFrame, url: str, table: str, properties: Mapping[str, str] | None = None, *, replace: bool, connections: int = 16, staged: str | None = None
+) -> None:
+    """Load into a database table: ``replace`` exchanges all rows, otherwise rows are appended.
+
+    ``connections`` caps the partitions, and so the sessions opened against the database at a time. A replace first
+    writes all rows into the table ``staged`` (by default ``<table>__new``), which it makes anew, and then exchanges them
+    in one transaction. The frame may read the table; a job that dies before the exchange leaves the table as it was, and
+    one that is repeated gives the same rows. The staged rows stay for the next replace to overwrite. The exchange is
+    sent as the opening statements of a one-row read, which the database must take several of at once.
     """
-    writer = df.repartition(connections).write.format("jdbc").mode("overwrite" if replace else "append")
-    writer.options(**jdbc_write_options(url, table, properties, truncate=replace)).save()
+    writer = df.repartition(connections).write.format("jdbc")
+    if not replace:
+        writer.mode("append").options(**jdbc_write_options(url, table, properties, truncate=False)).save()
+        return
+    staged = staged or f"{table}__new"
+    writer.mode("overwrite").options(**jdbc_write_options(url, staged, properties, truncate=False)).save()
+    exchange = jdbc_options(url, "(SELECT 1 AS done) q", properties, single=True)
+    exchange["sessionInitStatement"] = swap_script(table, staged, df.columns)
+    df.sparkSession.read.format("jdbc").options(**exchange).load().collect()

@@ -8,8 +8,9 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from feedkit.sinks.exports import export_delimited, export_ordered_file, file_log
-from feedkit.sources import files
+from feedkit.sinks.exports import counted, export_delimited, export_log, export_ordered_file, file_log
+from feedkit.sinks.tables import write_jdbc
+from feedkit.sources import files, tables
 from feedkit.sources.listing import FileListing, _Reader
 
 from .conftest import rows
@@ -115,3 +116,75 @@ def test_line_numbers_of_a_split_file(spark, tmp_path):
         assert got.rows.count() == 3960
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_rows_and_checksum_are_counted_while_writing(spark, tmp_path):
+    df = spark.range(700).selectExpr("id", "CAST(id % 9 AS STRING) AS v").repartition(5)
+    one = export_ordered_file(df, str(tmp_path / "a"), "a.csv", ["id"])
+    two = export_ordered_file(df.repartition(3), str(tmp_path / "b"), "b.csv", ["v"], parts=2)
+    none = export_ordered_file(df.limit(0), str(tmp_path / "c"), "c.csv", ["id"])
+    assert one.n_rows == two.n_rows == 700 and one.checksum == two.checksum != 0 and (none.n_rows, none.checksum) == (0, 0)
+    other = counted(df.withColumn("v", F.lit("x")))
+    other.df.write.format("noop").mode("overwrite").save()
+    assert other.checksum != one.checksum
+    log = export_log(spark, {"a.csv": one, "c.csv": none}, str(tmp_path), "ids", F.lit("2024-06-30").cast("date"))
+    assert rows(log, "name", "numberofrows", "checksum") == [("a.csv", 700, str(one.checksum)), ("c.csv", 0, "0")]
+
+
+def test_filled_columns_come_from_footers(spark, tmp_path):
+    path = str(tmp_path / "wide")
+    wide = spark.range(3000).selectExpr(
+        "id", "CAST(NULL AS STRING) AS none", "IF(id = 2999, 'x', NULL) AS one", "CAST(NULL AS DATE) AS `no day`", "CAST(NULL AS ARRAY<INT>) AS list", "named_struct('a', CAST(NULL AS INT)) AS s"
+    )
+    wide.repartition(4).write.parquet(path)
+    assert tables.filled_columns(spark, path) == ["id", "one", "s"]
+    assert tables.read_filled(spark, path).columns == ["id", "one", "s"]
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    with tables._footers_answer(spark):
+        plan = tables.counted_values(spark, path, ["id", "none", "no day"])._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(id), COUNT(none), COUNT(no day)]" in plan.replace("`", "")
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+    spark.createDataFrame([], "a int, b string").write.parquet(str(tmp_path / "empty"))
+    assert tables.filled_columns(spark, str(tmp_path / "empty")) == []
+
+
+def test_measured_splits_hold_every_row_once(spark):
+    df = spark.createDataFrame([(v,) for v in [None, None, -5, 0, 0, 0, 0, 7, 7, 9, 1000, 10**9]], "k long")
+    for begins in ([-5, 0, 0, 7, 1000], [0], [], [-5, 10**9], [9, 7]):
+        parts = tables.split_predicates("k", begins)
+        assert sum(df.filter(p).count() for p in parts) == 12, parts
+    assert tables.split_predicates("d", ["a", "b'c"]) == ["(d < 'b''c' OR d IS NULL)", "d >= 'b''c'"]
+    with pytest.raises(TypeError):
+        tables.split_predicates("k", [True, False])
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t AS SELECT CASE WHEN i < 900 THEN 5 ELSE i * i END AS k FROM range(1000) r(i)")
+    begins = [r[0] for r in con.execute(tables.split_query("t", "k", 10)).fetchall()]
+    sizes = [con.execute(f"SELECT count(*) FROM t WHERE {p}").fetchone()[0] for p in tables.split_predicates("k", begins)]
+    assert sum(sizes) == 1000 and sizes == [900, 100]
+
+
+def test_a_table_is_exchanged_only_after_its_rows_are_there():
+    """The order of what the database is asked, on a stand-in for the frame."""
+    from unittest.mock import MagicMock
+
+    df = MagicMock()
+    df.columns = ["a", "b"]
+    writer = df.repartition.return_value.write.format.return_value
+    writer.mode.return_value = writer
+    writer.options.return_value = writer
+    write_jdbc(df, "jdbc:x", "raw.t", {"user": "u"}, replace=True)
+    (staged,) = writer.options.call_args_list
+    assert staged.kwargs["dbtable"] == "raw.t__new" and "truncate" not in staged.kwargs
+    reader = df.sparkSession.read.format.return_value
+    asked = reader.options.call_args.kwargs
+    assert asked["sessionInitStatement"] == "BEGIN; DELETE FROM raw.t; INSERT INTO raw.t (a, b) SELECT a, b FROM raw.t__new; COMMIT"
+    assert "numPartitions" not in asked  # one connection
+    order = [c[0] for c in df.mock_calls]
+    assert order.index("repartition().write.format().save") < order.index("sparkSession.read.format")
+    writer.save.side_effect = RuntimeError("died")
+    df.sparkSession.read.reset_mock()
+    with pytest.raises(RuntimeError):
+        write_jdbc(df, "jdbc:x", "raw.t", replace=True)
+    assert not df.sparkSession.read.mock_calls
