@@ -86,7 +86,7 @@ def plan(histogram: dict[int, int], capacity: int) -> Plan:
     return Plan((table[:, 0] << 40) + table[:, 1], table[:, 1], table[:, 2], table[:, 3], table[:, 4], sequence)
 
 
-def cut(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFrame:
+def cut(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, added: bool = False) -> DataFrame:
     """Encode whole documents, add ``end_id`` and cut those over ``capacity``; the first piece takes the remainder.
 
     ``task`` and ``nth`` number the pieces of one length within the task that made them; written once, they stay.
@@ -96,7 +96,7 @@ def cut(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFram
         from pyspark import TaskContext
 
         task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        with encoder(tokenizer) as enc:
+        with encoder(tokenizer, added=added) as enc:
             for batch in batches:
                 texts, keys = column(batch, "text"), column(batch, "doc_id")
                 for a, b in text_slices(texts, 1 << 20):
@@ -141,14 +141,15 @@ class Packed:
     sequences: int
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2) -> Packed:
+def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, added: bool = False) -> Packed:
     """Give every piece of ``docs`` (doc_id, text) a ``sequence_id`` and an ``offset`` in that sequence.
 
     ``places`` also has the checksum of the piece's ids, as little-endian unsigned 32-bit integers. A null text is empty
     and still has its end id. Repeated doc_ids are separate documents. An empty table gives an empty result. Only
-    doc_id and text are read, so other columns may have any name.
+    doc_id and text are read, so other columns may have any name. With ``added`` the names of added tokens in a text
+    become their ids.
     """
-    pieces = keep(cut(docs, tokenizer, end_id, capacity), "pieces")
+    pieces = keep(cut(docs, tokenizer, end_id, capacity, added), "pieces")
     counts = pieces.groupBy("task", "length").agg(F.count("*").alias("n"))
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # <= capacity rows
     p = plan(histogram, capacity)

@@ -32,7 +32,7 @@ def _table(spark: SparkSession, path: str, name: str) -> DataFrame:
 
 def op1_token_store(spark: SparkSession, path: str) -> DataFrame:
     store = f"{scratch_dir(spark, 'token-store')}/store"
-    token_store.write_store(_table(spark, path, "documents"), store, vocabulary(), end_id=0)
+    token_store.write_store(_table(spark, path, "documents"), store, vocabulary(), end_id=0, added=True)
     got = token_store.read_documents(spark, store)
     return got.select("doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
@@ -67,7 +67,7 @@ def op5_histogram_shards(spark: SparkSession, path: str) -> DataFrame:
 
 
 def op6_pack(spark: SparkSession, path: str) -> DataFrame:
-    packed = packing.pack(_table(spark, path, "documents"), vocabulary(), capacity=1024, end_id=2)
+    packed = packing.pack(_table(spark, path, "documents"), vocabulary(), capacity=1024, end_id=2, added=True)
     return packed.places.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

@@ -20,6 +20,7 @@ from .words import column, text_slices
 
 BLOCK = 512  # bits between two entries of a rank directory
 SEGMENT_TOKENS = 1 << 18
+STRETCH = 1 << 16  # ids of a segment whose requests are gathered together
 
 SCHEMA = (
     "part int, segment int, first long, size long, doc_ids array<long>, lengths array<long>, "
@@ -69,7 +70,26 @@ def token_at(levels: list[bytes], more: list[bytes], ranks: list[bytes], at: int
     return value
 
 
-def _segments(tokenizer: str, end_id: int | None, segment_tokens: int):
+def tokens_at(levels: list[bytes], more: list[bytes], ranks: list[bytes], at: np.ndarray) -> np.ndarray:
+    """Many ids of a segment, by rank alone; ``at`` in any order."""
+    value, own = np.zeros(len(at), np.int64), np.arange(len(at))
+    for depth, (level, bits, rank) in enumerate(zip(levels, more, ranks)):
+        value[own] |= np.frombuffer(level, np.uint8)[at].astype(np.int64) << (8 * depth)
+        packed = np.frombuffer(bits, np.uint8)
+        on = (packed[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+        own, at = own[on], at[on]
+        if not len(at):
+            break
+        # Set bits before each place: those of its block's whole bytes, then those of its own byte.
+        ones = np.concatenate(([0], np.cumsum(np.bitwise_count(packed), dtype=np.int64)))
+        block = at // BLOCK
+        before = ones[at >> 3] - ones[block * (BLOCK // 8)]
+        before += np.bitwise_count(packed[at >> 3] & ((1 << (at & 7)) - 1).astype(np.uint8))
+        at = np.frombuffer(rank, "<u4").astype(np.int64)[block] + before
+    return value
+
+
+def _segments(tokenizer: str, end_id: int | None, segment_tokens: int, added: bool):
     def run(batches):
         from pyspark import TaskContext
 
@@ -84,7 +104,7 @@ def _segments(tokenizer: str, end_id: int | None, segment_tokens: int):
             docs, lengths, ids, held = [], [], [], 0
             return pa.RecordBatch.from_pylist([row], schema=_ARROW)
 
-        with encoder(tokenizer, reuse=True) as enc:
+        with encoder(tokenizer, reuse=True, added=added) as enc:
             for batch in batches:
                 texts, keys = column(batch, "text"), column(batch, "doc_id").to_pylist()
                 for a, b in text_slices(texts, 1 << 21):
@@ -118,16 +138,18 @@ _ARROW = pa.schema(
 )
 
 
-def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 0, segment_tokens: int = SEGMENT_TOKENS) -> None:
+def write_store(
+    docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 0, segment_tokens: int = SEGMENT_TOKENS, added: bool = False
+) -> None:
     """Encode ``docs`` (doc_id, text; other columns are not read) and write the store to ``path``.
 
     One range exchange puts the documents in ascending order of doc_id, null first; rows of equal doc_id are ordered by
     a hash of their text, so that many rows of one id still spread. A null text is empty and has the end id alone. An
-    empty table gives an empty store.
+    empty table gives an empty store. With ``added`` the names of added tokens in a text become their ids.
     """
     tie = F.xxhash64("text")
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie)
-    ordered.mapInArrow(_segments(tokenizer, end_id, segment_tokens), SCHEMA).write.option("compression", "zstd").parquet(path)
+    ordered.mapInArrow(_segments(tokenizer, end_id, segment_tokens, added), SCHEMA).write.option("compression", "zstd").parquet(path)
 
 
 def read_store(spark, path: str) -> DataFrame:
@@ -160,30 +182,47 @@ def read_documents(spark, path: str) -> DataFrame:
     return read_store(spark, path).select("start", "doc_ids", "lengths", "levels", "more").mapInArrow(run, "doc_id long, start long, ids binary")
 
 
+def _spans(batches):
+    """Where the documents of a segment lie in it: part, segment, doc_id, n, lead."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            n = np.array(row["lengths"], np.int64)
+            same = [pa.array(np.full(len(n), row[c], np.int32)) for c in ("part", "segment")]
+            yield pa.RecordBatch.from_arrays(
+                [*same, pa.array(row["doc_ids"], pa.int64()), pa.array(n), pa.array(np.cumsum(n) - n)], ["part", "segment", "doc_id", "n", "lead"]
+            )
+
+
 def read_tokens(spark, path: str, wanted: DataFrame) -> DataFrame:
     """``wanted`` (doc_id, at) with ``token``, the at-th id of the document; null where it has none.
 
-    Each segment that is asked for is joined once to its requests and read by rank, without decoding it.
+    Requests, each once, are gathered by segment and stretch of it and read by rank, without decoding the segment; a
+    stretch bounds how many come together. Of documents with one doc_id each gives its own token. Repeated requests are
+    answered each; null ones get a null.
     """
     store = read_store(spark, path)
-    spans = store.select("part", "segment", F.posexplode(F.arrays_zip("doc_ids", "lengths")).alias("i", "d"), "lengths").select(
-        "part",
-        "segment",
-        F.col("d.doc_ids").alias("doc_id"),
-        F.col("d.lengths").alias("n"),
-        F.aggregate(F.slice("lengths", 1, F.col("i")), F.lit(0).cast("long"), lambda a, x: a + x).alias("lead"),
-    )
-    asked = wanted.select("doc_id", "at").join(spans, "doc_id", "left")
-    inside = asked.filter("at >= 0 AND at < n").select("part", "segment", "doc_id", "at", (F.col("lead") + F.col("at")).alias("place"))
-    joined = inside.join(store.select("part", "segment", "levels", "more", "ranks"), ["part", "segment"])
+    spans = store.select("part", "segment", "doc_ids", "lengths").mapInArrow(_spans, "part int, segment int, doc_id long, n long, lead long")
+    asked = wanted.select("doc_id", "at").distinct().join(spans, "doc_id").filter("at >= 0 AND at < n")
+    inside = asked.select("part", "segment", "doc_id", "at", (F.col("lead") + F.col("at")).alias("place"))
+
+    def gather(key: tuple, table: pa.Table) -> pa.Table:
+        lists = [pa.array([column(table, c).to_numpy().astype("<i8").tobytes()], pa.binary()) for c in ("doc_id", "at", "place")]
+        return pa.table([pa.array([k.as_py()], pa.int32()) for k in key[:2]] + lists, names=["part", "segment", "doc_ids", "ats", "places"])
+
+    stretch = F.floor(F.col("place") / STRETCH).alias("stretch")
+    gathered = inside.groupBy("part", "segment", stretch).applyInArrow(gather, "part int, segment int, doc_ids binary, ats binary, places binary")
+    joined = gathered.join(store.select("part", "segment", "levels", "more", "ranks"), ["part", "segment"])
 
     def run(batches):
         for batch in batches:
-            rows = batch.to_pylist()
-            got = [token_at(r["levels"], r["more"], r["ranks"], r["place"]) for r in rows]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("at"), pa.array(got, pa.int64())], ["doc_id", "at", "token"])
-
-    found = joined.mapInArrow(run, "doc_id long, at long, token long")
+            for i in range(batch.num_rows):
+                r = batch.slice(i, 1).to_pylist()[0]
+                ids, ats, places = (np.frombuffer(r[c], "<i8") for c in ("doc_ids", "ats", "places"))
+                got = tokens_at(r["levels"], r["more"], r["ranks"], places)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ats), pa.array(got)], ["doc_id", "at", "token"])
+
+    columns = ["part", "segment", "levels", "more", "ranks", "doc_ids", "ats", "places"]
+    found = joined.select(*columns).mapInArrow(run, "doc_id long, at long, token long")
     return wanted.select("doc_id", "at").join(found, ["doc_id", "at"], "left")
 
 

@@ -22,15 +22,17 @@ class Encoder:
     A text is cut before every space that follows a visible character. Byte-level vocabularies never join a visible
     character with a space after it, so the ids of a text are those of its pieces, one after another. Pieces are looked
     up by a 128-bit hash among those already encoded, ``cache`` at most; the rest are encoded again when they come back.
+    Names of added tokens (``<|endoftext|>``) are ordinary text, or with ``added`` become their ids, as the library's plain
+    call has it; they hold no space, so pieces are the same.
     """
 
-    def __init__(self, path: str, cache: int = CACHE):
+    def __init__(self, path: str, cache: int = CACHE, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         from tokenizers import Tokenizer
 
         self.cache = cache
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not added
         names = self.tokenizer.get_vocab(with_added_tokens=True)
         #: Bytes that each id stands for; byte-level names have one character a byte.
         self.width = np.zeros(max(names.values()) + 1, np.int64)
@@ -131,15 +133,15 @@ class Encoder:
 
 
 @contextmanager
-def encoder(path: str, reuse: bool = False) -> Iterator[Encoder]:
+def encoder(path: str, reuse: bool = False, added: bool = False) -> Iterator[Encoder]:
     """An encoder for one task; its pieces go with it, as Python workers live on and may next run something else.
 
     With ``reuse`` the worker keeps it for its next task, with twice as many pieces, as later tasks meet them again.
     """
-    yield _kept(path) if reuse else Encoder(path)
+    yield _kept(path, added) if reuse else Encoder(path, added=added)
     release()
 
 
 @lru_cache(maxsize=1)
-def _kept(path: str) -> Encoder:
-    return Encoder(path, 2 * CACHE)
+def _kept(path: str, added: bool) -> Encoder:
+    return Encoder(path, 2 * CACHE, added)
