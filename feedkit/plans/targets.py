@@ -125,7 +125,8 @@ def store_routes(routed: DataFrame, targets: Sequence[Target], run: str) -> None
     routed.write.partitionBy("route").parquet(staged)
     rows = routed.sparkSession.read.schema(routed.schema).parquet(staged)
     taken = {r for t in targets for r in t.routes}
-    left = sorted(r["route"] for r in rows.select("route").distinct().collect() if r["route"] not in taken)
+    routes = rows.agg(F.collect_set(F.coalesce("route", F.lit("no route")))).first()[0]  # as many as the folders just written
+    left = sorted(r for r in routes if r not in taken)
     if left:
         raise ValueError(f"no target takes {left}")
     for t in targets:

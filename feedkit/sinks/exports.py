@@ -137,7 +137,7 @@ def export_ordered_file(
     pieces = []  # in the order of the file; Spark numbers parts by their ranges
     for folder in folders:
         found = list_files(spark, folder).filter(F.col("name").startswith("part-")).select("path", "name", "size")
-        pieces += [(r["path"], r["size"]) for r in sorted(found.collect(), key=lambda r: r["name"])]
+        pieces += [(r["path"], r["size"]) for r in sorted(found.toLocalIterator(), key=lambda r: r["name"])]
     if scheme == "hdfs":
         _concat(spark, [p for p, _ in pieces], f"{path.rstrip('/')}/{name}")
     else:

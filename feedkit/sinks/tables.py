@@ -117,4 +117,4 @@ def write_jdbc(
     writer.mode("overwrite").options(**jdbc_write_options(url, staged, properties, truncate=False)).save()
     exchange = jdbc_options(url, "(SELECT 1 AS done) q", properties, single=True)
     exchange["sessionInitStatement"] = swap_script(table, staged, df.columns)
-    df.sparkSession.read.format("jdbc").options(**exchange).load().collect()
+    df.sparkSession.read.format("jdbc").options(**exchange).load().first()

@@ -51,8 +51,8 @@ def versions(spark: SparkSession, root: str) -> DataFrame:
 
 def latest(spark: SparkSession, root: str) -> Version | None:
     """The version that readers get now, or None."""
-    row = versions(spark, root).orderBy(F.desc("version")).limit(1).collect()
-    return Version(*row[0]) if row else None
+    row = versions(spark, root).orderBy(F.desc("version")).first()
+    return Version(*row) if row else None
 
 
 def _announce(spark: SparkSession, root: str, entry: Version) -> None:
@@ -85,10 +85,10 @@ def read_snapshot(spark: SparkSession, root: str, version: int | None = None) ->
     root = root.rstrip("/")
     found = versions(spark, root)
     found = found.orderBy(F.desc("version")) if version is None else found.filter(F.col("version") == version)
-    row = found.limit(1).collect()
-    if not row or row[0]["dropped"]:
+    row = found.first()
+    if row is None or row["dropped"]:
         raise LookupError(f"{root} has no version {'' if version is None else version}".rstrip())
-    return spark.read.parquet(f"{root}/{row[0]['folder']}")
+    return spark.read.parquet(f"{root}/{row['folder']}")
 
 
 def drop_old(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
@@ -100,7 +100,7 @@ def drop_old(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
     if keep < 1:
         raise ValueError("the newest version stays")
     root = root.rstrip("/")
-    gone = versions(spark, root).orderBy(F.desc("version")).offset(keep).filter("NOT dropped").collect()
+    gone = list(versions(spark, root).orderBy(F.desc("version")).offset(keep).filter("NOT dropped").toLocalIterator())
     for row in gone:
         path = f"{root}/{row['folder']}"
         schema = spark.read.parquet(path).schema

@@ -127,6 +127,6 @@ def split_predicates(column: str, begins: Sequence) -> list[str]:
 def read_jdbc_even(spark: SparkSession, url: str, table: str, split_on: str, properties: Mapping[str, str] | None = None, *, partitions: int = 16) -> DataFrame:
     """Read a table in parts of about equal rows: the database says where they begin, and every part is a task's query."""
     asked = jdbc_options(url, f"({split_query(table, split_on, partitions)}) q", properties, single=True)
-    begins = [r[0] for r in spark.read.format("jdbc").options(**asked).load().collect()]  # one value a part
+    begins = [r[0] for r in spark.read.format("jdbc").options(**asked).load().toLocalIterator()]  # one value a part
     every = {"fetchsize": "10000", **(properties or {})}
     return spark.read.jdbc(url, table, predicates=split_predicates(split_on, begins), properties=every)

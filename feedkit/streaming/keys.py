@@ -55,7 +55,7 @@ class KeyIndex:
         held = self._marked(keys).join(self._filters(batch), "bucket")
         maybe = held.filter(_bit("bits", F.col("places")[0]) & _bit("bits", F.col("places")[1]) & _bit("bits", F.col("places")[2]))
         maybe = maybe.select(self.key, "bucket")
-        self.opened = sorted(r["bucket"] for r in maybe.select("bucket").distinct().collect())  # at most ``buckets``
+        self.opened = sorted(maybe.agg(F.collect_set("bucket")).first()[0])  # at most ``buckets``
         if not self.opened:
             return keys.select(self.key).limit(0)
         folders = [f"{self.root}/keys/bucket={b}" for b in self.opened]
