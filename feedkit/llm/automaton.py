@@ -30,11 +30,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .words import column, release, text_slices
+from .words import column, release, slices, text_slices
 
 SLICE = 1 << 21  # bytes of text that are encoded at a time
 WORDS = 300_000  # distinct pieces of text that a task remembers with their ids
-BATCH = 4000  # distinct words that go through the automaton together
+LONGEST = 1000  # characters of a piece that is remembered
+MOST_IDS = 8_000_000  # of the remembered pieces
+BATCH = 1 << 17  # bytes of distinct words that go through the automaton together
 
 
 # A word of the byte-level splitting pattern, of one class of ASCII characters; apostrophes may begin a shortened verb.
@@ -310,10 +312,11 @@ class Codec:
         which = words.indices.to_numpy(zero_copy_only=False)
         values = words.dictionary.to_pylist()
         # Short words first, so that words of one batch end at about the same time.
-        distinct = np.argsort(np.fromiter(map(len, values), np.int64, len(values)), kind="stable").tolist()
+        lengths = np.fromiter(map(len, values), np.int64, len(values))
+        distinct = np.argsort(lengths, kind="stable")
         ids, counts = [], np.zeros(len(values), np.int64)
-        for lo in range(0, len(distinct), BATCH):
-            part = distinct[lo : lo + BATCH]
+        for lo, hi in slices(lengths[distinct], BATCH):
+            part = distinct[lo:hi].tolist()
             points = np.frombuffer("".join([values[i] for i in part]).encode("utf-32-le"), "<u4")
             sizes = np.fromiter((len(values[i]) for i in part), np.int64, len(part))
             got, n = self.automaton.encode_words(self.names[points], sizes)
@@ -321,8 +324,7 @@ class Codec:
             counts[part] = n
         flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
         place = np.zeros(len(values), np.int64)
-        order = np.array(distinct, np.int64)
-        place[order] = np.cumsum(counts[order]) - counts[order]
+        place[distinct] = np.cumsum(counts[distinct]) - counts[distinct]
         sizes = counts[which]
         ends = np.cumsum(sizes)
         out = flat[np.arange(int(sizes.sum())) + np.repeat(place[which] - (ends - sizes), sizes)]
@@ -344,7 +346,7 @@ class Codec:
         pieces = coded.dictionary.to_pylist()
         new = [p for p in pieces if p not in self.seen]
         if new:
-            if len(self.seen) + len(new) > self.limit:  # begin anew rather than grow
+            if len(self.seen) + len(new) > self.limit or self.filled > MOST_IDS:  # begin anew rather than grow
                 self.seen, self.arena, self.filled = {}, [], 0
                 new = pieces
             ids, counts = self._fresh(new)
@@ -355,6 +357,9 @@ class Codec:
         if len(self.arena) > 1:
             self.arena = [np.concatenate(self.arena)]
         found = np.array([self.seen[p] for p in pieces], np.int64)
+        for p in new:
+            if len(p) > LONGEST:
+                del self.seen[p]
         which = coded.indices.to_numpy(zero_copy_only=False)
         sizes = found[which, 1]
         ends = np.cumsum(sizes)
@@ -464,8 +469,6 @@ def encode(docs: DataFrame, path: str, text: str = "text", to: str = "ids") -> D
 
 def _cut(sizes: np.ndarray, most: int = 1 << 30) -> Iterator[tuple[int, int]]:
     """Row ranges whose bytes fit in one Arrow binary column."""
-    from .words import slices
-
     return slices(sizes, most)
 
 
