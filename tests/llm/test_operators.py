@@ -327,3 +327,33 @@ def test_components(spark):
     got = dict(_tuples(components(spark.createDataFrame(links, "u long, v long")), "node", "root"))
     assert got == {**{i: 0 for i in range(1, 31)}, 100: 90, 95: 90, 201: 200, 202: 200}
 
+
+
+def test_family_of_near_copies_does_not_meet_in_pairs(spark, monkeypatch):
+    """A page and 120 copies with one or two changed words: leaders join them, so no token brings all their pairs."""
+    base = [f"w{i}" for i in range(150)]
+    texts = [" ".join(base)]
+    for i in range(120):
+        words = list(base)
+        for k in range(1 + i % 2):
+            words[(i * 7 + k * 61) % 150] = f"own{i}x{k}"
+        texts.append(" ".join(words))
+    texts += [" ".join([*base[:40], *(f"far{i}x{k}" for k in range(110))]) for i in range(40)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts[::-1])], "doc_id long, text string")
+    opened = []
+    visit = jaccard._visit
+
+    def seen(chunks, rows, *rest):
+        opened.append(rows.count())
+        return visit(chunks, rows, *rest)
+
+    monkeypatch.setattr(jaccard, "_visit", seen)
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(146)} for i, t in enumerate(texts[::-1])}
+    root = {i: i for i in sets}
+    for i in sets:
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = {x: new if r == old else r for x, r in root.items()}
+    assert _tuples(jaccard.linked(docs), "doc_id", "n_shingles", "component_id") == sorted(((i, 146, root[i]) for i in sets), key=str)
+    assert opened[0] <= len(texts)  # not the pairs of the family
