@@ -85,7 +85,7 @@ _ERRORS_SQL = (
 )
 def completions_error_export(t: Tables):
     routed = c.validate_completions(t.input("named_completion"), t.input("person"), _KEYS)
-    file, errors = g.completion_errors(routed)
+    file, errors = g.completion_errors(g.stage_rejected(routed.drop(*_KEYS)))
     path, log = scratch_dir(t.spark, "completion-errors"), scratch_dir(t.spark, "completion-log")
     export_ordered_file(file, path, "completion_error_20240630.csv", ["Learner ID", "Class Title"], sep="|", quote_all=True, keep_blanks=True)
     errors.write.parquet(f"{log}/run=2024-06-30")

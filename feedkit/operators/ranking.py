@@ -39,8 +39,8 @@ def flag_first(
     gives each row the same salt.
     """
     salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    names = {f"_key{i}": as_col(k) for i, k in enumerate(keys)}
-    key_cols = [F.col(k) for k in names]
+    names = {f"_key{i}": k for i, k in enumerate(keys) if not isinstance(k, str)}  # plain columns are not copied: all rows travel twice
+    key_cols = [as_col(k) if isinstance(k, str) else F.col(f"_key{i}") for i, k in enumerate(keys)]
     spread = F.pmod(F.xxhash64(*[as_col(c) for c in df.columns]) + F.spark_partition_id(), F.lit(salts))
     by = [as_col(o) for o in order]
     salted = df.withColumns(names).withColumn("_salt", spread)

@@ -134,6 +134,13 @@ def store_routes(routed: DataFrame, targets: Sequence[Target], run: str) -> None
         apply_mapping(own, t.mapping, missing="null").write.mode("overwrite").parquet(f"{t.root.rstrip('/')}/run={run}")
 
 
+def stage_rejected(routed: DataFrame) -> DataFrame:
+    """The rejected rows of validated completions, written once: their file and their log are read from what is stored."""
+    staged = f"{scratch_dir(routed.sparkSession, 'rejected')}/rows"
+    routed.filter("route <> 'valid'").write.option("compression", "zstd").parquet(staged)
+    return routed.sparkSession.read.schema(routed.schema).parquet(staged)
+
+
 def completion_errors(routed: DataFrame, headings: dict[str, str] = ERROR_HEADINGS) -> tuple[DataFrame, DataFrame]:
     """Of validated completions the rejected ones: the rows of the error file under its headings, and those of the log.
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
+from feedkit.operators.ranking import flag_first
 from feedkit.plans import targets as g
 
 from .conftest import rows
@@ -54,3 +56,16 @@ def test_logs_of_histories():
     assert [m[2] for m in g.TRAINING_HISTORY_LOG] == [m[2] for m in g.TRAINING_HISTORY][:-1]
     assert dict((m[2], m[3]) for m in g.TRAINING_HISTORY_LOG)["credithours"] == "int"
     assert {m[2] for m in g.UNIQUE_LOG} - {m[2] for m in g.TRAINING_HISTORY} == {"recordcreateddate", "recordmodifieddate", "qual_person_id", "dshscourseid"}
+
+
+def test_rejected_rows_are_ranked_once_and_then_read(spark):
+    schema = "learner_id string, last_name string, class_title string, route string"
+    df = spark.createDataFrame([("1", "A", "c", "valid"), ("2x", " B", "d", "unmatched"), ("3", None, "e", "duplicate")], schema)
+    marked = flag_first(df, ["learner_id", "class_title", F.upper("last_name")], ["route"])
+    copies = {f"_key{i}" for i in range(3) if f"_key{i}#" in marked._jdf.queryExecution().analyzed().toString()}
+    assert copies == {"_key2"}  # only computed keys travel beside their row
+    staged = g.stage_rejected(marked)
+    assert staged.columns == [*df.columns, "is_first"]
+    plan = staged._jdf.queryExecution().toString()
+    assert "Window" not in plan and "Exchange" not in plan
+    assert rows(staged, "learner_id", "last_name", "is_first") == [("2x", " B", True), ("3", None, True)]
