@@ -16,6 +16,8 @@ from .words import column, text_slices
 
 BLOCK_PAGES = 64  # pages of a host that are aligned in one task, with the first page of the next block
 
+OUTSIDE, ARTICLE, DOUBT = 0, 1, 2  # where a block stands
+
 DEEPEST = 10_000  # open elements that are told apart
 ROW_BITS = 1 << 26  # of the rows that an alignment keeps
 
@@ -117,34 +119,62 @@ def _ended(stack: list[str], tag: str) -> int:
 
 
 def blocks(page: str | None) -> tuple[list[str], bool]:
-    """Text blocks of a page in order, and whether they are those of its article.
+    """Text blocks of a page in order, and whether they are those of its article."""
+    lines, marks, found = parts_of(page)
+    return [b for b, m in zip(lines, marks) if m != OUTSIDE or not found], found
+
+
+def _doubtful(attrs: str) -> bool:
+    """Whether a class or id has a word for a part of a page that is no main text, beside words that name something else."""
+    for name, *values in _ATTR.findall(attrs):
+        if name.lower() in ("class", "id"):
+            if any(w.rstrip("0123456789") in _MARKED for v in values if v for w in re.split(r"[\s_-]+", v.lower())):
+                return True
+    return False
+
+
+def parts_of(page: str | None) -> tuple[list[str], list[int], bool]:
+    """Text blocks of a page in order, what structure says of each, and whether the page has an article.
+
+    A block stands outside of articles, is their text, or is in doubt: in an article, but all of it link text, or in an
+    element whose name has a word for a part of a page among others.
 
     Elements that are never main text are left out, up to their end: their end tag, one that HTML implies, the end of an
     element around them, or the start of an article. With an article (or main) element, only what stands in one counts.
     An unfinished tag at the page's end is no text.
     """
-    all_blocks: list[tuple[str, bool]] = []
+    lines: list[str] = []
+    marks: list[int] = []
     parts: list[str] = []
+    links, plain, doubt = 0, False, 0  # open links; text beside links in this block; height of the stack below a doubtful name, plus one
     stack: list[str] = []  # open elements
     skip, inside, at = -1, 0, 0  # height of the stack below the element left out, or -1; articles open
     found = False
 
     def end() -> None:
+        nonlocal plain
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                all_blocks.append((text, inside > 0))
+                lines.append(text)
+                marks.append(OUTSIDE if inside <= 0 else DOUBT if doubt or not plain else ARTICLE)
             parts.clear()
+        plain = False
 
     page = page or ""
 
     def text(segment: str) -> None:
+        nonlocal plain
         if segment and skip < 0:
             parts.append(html.unescape(segment) if "&" in segment else segment)
+            plain = plain or not (links or segment.isspace())
 
     def shrink(to: int) -> None:
-        nonlocal skip, inside
+        nonlocal skip, inside, links, doubt
         if to < len(stack):
+            links -= sum(t == "a" for t in stack[to:])
+            if to < doubt:
+                doubt = 0
             if skip < 0 or to <= skip:
                 inside -= sum(t in ("article", "main") for t in stack[to : skip if skip >= 0 else None])
             del stack[to:]
@@ -176,9 +206,12 @@ def blocks(page: str | None) -> tuple[list[str], bool]:
             inside, found = inside + 1, True
         if tag not in _VOID and len(stack) < DEEPEST:
             stack.append(tag)
+            links += tag == "a"
+            if skip < 0 and inside and not main and not doubt and tag not in _HEADINGS and m["attrs"] and _doubtful(m["attrs"]):
+                doubt = len(stack)
     text(page[at:])
     end()
-    return [b for b, own in all_blocks if own or not found], found
+    return lines, marks, found
 
 
 def common(a: list, b: list) -> tuple[list[int], list[int]]:
@@ -291,7 +324,7 @@ def _place(url: str | None) -> tuple[str | None, str]:
     return (parts.hostname or None), parts.path.rstrip("/")
 
 
-_PARSED = "row long, page_id long, url string, host string, path string, article boolean, lines array<string>"
+_PARSED = "row long, page_id long, url string, host string, path string, article boolean, marks array<tinyint>, lines array<string>"
 
 
 def parse(pages: DataFrame) -> DataFrame:
@@ -304,7 +337,7 @@ def parse(pages: DataFrame) -> DataFrame:
         for batch in batches:
             ids, urls, htmls = (column(batch, c) for c in ("page_id", "url", "html"))
             for a, b in text_slices(htmls, 2 << 20):
-                got = [blocks(h) for h in htmls.slice(a, b - a).to_pylist()]
+                got = [parts_of(h) for h in htmls.slice(a, b - a).to_pylist()]
                 where = [_place(u) for u in urls.slice(a, b - a).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -313,10 +346,11 @@ def parse(pages: DataFrame) -> DataFrame:
                         urls.slice(a, b - a).cast(pa.string()),
                         pa.array([h for h, _ in where], pa.string()),
                         pa.array([p for _, p in where], pa.string()),
-                        pa.array([f for _, f in got], pa.bool_()),
-                        pa.array([x for x, _ in got], pa.list_(pa.string())),
+                        pa.array([f for *_, f in got], pa.bool_()),
+                        pa.array([m for _, m, _ in got], pa.list_(pa.int8())),
+                        pa.array([x for x, *_ in got], pa.list_(pa.string())),
                     ],
-                    ["row", "page_id", "url", "host", "path", "article", "lines"],
+                    ["row", "page_id", "url", "host", "path", "article", "marks", "lines"],
                 )
                 row += b - a
 
@@ -354,19 +388,21 @@ def numbered(pages: DataFrame) -> DataFrame:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url and the main ``text`` of every page (page_id, url, html).
 
-    Structure comes first: blocks of an article element are main text. Of pages without one, in path order within a
-    host, each is aligned with the page before and after it, and lines that both have in the same order
-    are deleted, unless the two are copies. Pages without a host are not compared. Null and empty pages have an empty
-    text; repeated rows stay; other columns are not read.
+    In path order within a host every page is aligned with the page before and after it, with all lines outside of menus
+    and other parts named by their elements. Lines that both have in the same order are deleted, unless the two are
+    copies. Of a page with an article (or main) element, what stands outside goes too, and lines that structure says
+    to be the article's own text stay though a neighbour has them: only those in doubt, link lists and elements whose names have a word
+    for a part of a page, are left to the alignment. Pages without a host are not compared. Null and empty pages have an
+    empty text; repeated rows stay; other columns are not read.
     """
     parsed = keep(parse(pages), "pages")
     hashes = F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes")
     sizes = F.transform("lines", lambda x: F.length(x)).alias("sizes")
-    free = parsed.filter("NOT article AND host IS NOT NULL AND size(lines) > 0").select("host", "path", "row", hashes, sizes)
+    comparable = parsed.filter("host IS NOT NULL AND size(lines) > 0").select("host", "path", "row", hashes, sizes)
     own = F.floor(F.col("at") / BLOCK_PAGES)
     # The first page of a block also ends the block before, so that every page is aligned with both neighbours.
     within = F.when((F.col("at") > 0) & (F.col("at") % BLOCK_PAGES == 0), F.array(own - 1, own)).otherwise(F.array(own))
-    blocked = numbered(free).withColumn("block", F.explode(within))
+    blocked = numbered(comparable).withColumn("block", F.explode(within))
 
     def align(table: pa.Table) -> pa.Table:
         rows = sorted(table.select(["at", "row", "hashes", "sizes"]).to_pylist(), key=lambda r: r["at"])
@@ -376,8 +412,8 @@ def extract(pages: DataFrame) -> DataFrame:
 
     aligned = blocked.groupBy("host", "block").applyInArrow(align, "row long, gone array<int>")
     gone = keep(aligned.groupBy("row").agg(F.flatten(F.collect_list("gone")).alias("gone")), "shared-lines")
-    whole = parsed.filter("article OR host IS NULL OR size(lines) = 0").select("page_id", "url", "lines")
-    compared = parsed.filter("NOT article AND host IS NOT NULL AND size(lines) > 0").join(gone, "row", "left")
-    left = F.filter("lines", lambda x, i: ~F.coalesce(F.array_contains("gone", i), F.lit(False)))
-    both = whole.unionAll(compared.select("page_id", "url", left.alias("lines")))
-    return both.select("page_id", "url", F.array_join("lines", " ").alias("text"))
+    compared = parsed.join(gone, "row", "left")
+    deleted = lambda i: F.coalesce(F.array_contains("gone", i), F.lit(False))
+    mark = lambda i: F.get("marks", i)
+    left = F.filter("lines", lambda x, i: F.when(F.col("article"), (mark(i) == ARTICLE) | ((mark(i) == DOUBT) & ~deleted(i))).otherwise(~deleted(i)))
+    return compared.select("page_id", "url", F.array_join(left, " ").alias("text"))

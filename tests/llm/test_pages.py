@@ -72,3 +72,23 @@ def test_alignment_of_very_long_pages():
     b = [*range(7, 1000), -1, *range(1000, n // 2), *range(n // 2 + 50, n), -2]
     left, right = pages.common(a[::1], b)
     assert len(left) == len(b) - 2 and [a[i] for i in left] == [b[j] for j in right]
+
+
+def test_alignment_reaches_articles_and_their_neighbours(spark):
+    """A page's neighbours are the pages of nearest URL, with an article or not; what is in doubt in an article is deleted if shared."""
+    article = "<div>All our shops</div><article><p>{0} begins</p><p>Same words</p><ul><li><a>Home</a><li><a>{0} more</a></ul><div class=autumn-promo>Order now {1}</div></article><p>Imprint</p>"
+    pages_ = [
+        (1, "http://h.org/a", article.format("One", "")),
+        (2, "http://h.org/b", "<div>All our shops</div><p>Two</p><p>Imprint</p>"),
+        (3, "http://h.org/c", article.format("Three", "")),
+        (4, "http://h.org/d", article.format("Four", "")),
+        (5, None, article.format("Five", "here")),
+    ]
+    got = {r["page_id"]: r["text"] for r in pages.extract(spark.createDataFrame(pages_, "page_id long, url string, html string")).collect()}
+    assert got == {
+        1: "One begins Same words Home One more Order now",
+        2: "Two",
+        3: "Three begins Same words Three more",
+        4: "Four begins Same words Four more",
+        5: "Five begins Same words Home Five more Order now here",
+    }
